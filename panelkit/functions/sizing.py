@@ -1,0 +1,23 @@
+"""Broadcast only what has been measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether `df` has at most `max_rows` rows; counting stops just past the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, measure: DataFrame | None = None
+) -> DataFrame:
+    """Hint a broadcast if `df` is small; otherwise leave the strategy to Catalyst and AQE.
+
+    `measure` is a cheaper table known to have at least as many rows as `df`.
+    """
+    return F.broadcast(df) if fits(df if measure is None else measure, max_rows) else df
