@@ -22,9 +22,9 @@ def _wide(spark: SparkSession, folder: str) -> DataFrame:
     in_order = F.sort_array(F.collect_list(F.struct("day_num", "sales")))
     ids = ("item_id", "dept_id", "cat_id", "store_id", "state_id")
     rows = dense.groupBy(*ids).agg(in_order["sales"].alias("s"))
-    return rows.select(
-        F.concat_ws("_", "item_id", "store_id").alias("id"), *ids,
-        *[F.get("s", F.lit(d - first)).cast("int").alias(f"d_{d}") for d in range(first, last + 1)],
+    return rows.selectExpr(
+        "concat_ws('_', item_id, store_id) AS id", *ids,
+        *[f"int(s[{d - first}]) AS d_{d}" for d in range(first, last + 1)],
     )
 
 
@@ -164,7 +164,7 @@ def schema_check(spark, folder):
     declared = quality.schema_violations(lines, expected)
     nulls = quality.required_value_violations(lines, ["l_orderkey", "l_partkey", "l_shipdate"])
     return declared.select(
-        "column", "problem", F.lit(None).cast("long").alias("null_rows")
+        "column", "problem", F.lit(0).cast("long").alias("null_rows")
     ).unionByName(nulls.select("column", F.lit("nulls").alias("problem"), "null_rows"))
 
 
@@ -271,8 +271,8 @@ SELECT count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date,
        count(*) FILTER (sell_price IS NULL) AS null_prices
 FROM panel"""),
     "schema_check": """
-SELECT 'l_quantity' AS "column", 'type' AS problem, CAST(NULL AS BIGINT) AS null_rows
-UNION ALL SELECT 'l_store', 'missing', NULL
+SELECT 'l_quantity' AS "column", 'type' AS problem, CAST(0 AS BIGINT) AS null_rows
+UNION ALL SELECT 'l_store', 'missing', 0
 UNION ALL SELECT 'l_orderkey', 'nulls', count(*) FILTER (l_orderkey IS NULL) FROM lineitem
 UNION ALL SELECT 'l_partkey', 'nulls', count(*) FILTER (l_partkey IS NULL) FROM lineitem
 UNION ALL SELECT 'l_shipdate', 'nulls', count(*) FILTER (l_shipdate IS NULL) FROM lineitem""",

@@ -37,7 +37,8 @@ def melt_days(
     `unpivot` would expand to N projections.
     """
     days = day_columns(wide, prefix, last_days)
-    numbers = F.array(*[F.lit(int(d[len(prefix):])) for d in days])
+    # One parsed expression: building thousands of literals one by one is slow on the driver.
+    numbers = F.expr(f"array({', '.join(d[len(prefix):] for d in days)})")
     long = wide.select(*ids, F.posexplode(F.array(*days)).alias("_at", value))
     return long.select(*ids, F.get(numbers, F.col("_at")).alias(order), value)
 
