@@ -29,10 +29,9 @@ def _out(df: DataFrame, columns, key=KEY, digits: int = DIGITS) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def shown(name):
-        places = {"sales_expanding_mean": EXPANDING_DIGITS, "hits_expanding_mean": EXPANDING_DIGITS,
-                  "price_r7_std": PRICE_STD_DIGITS, "price_r28_std": PRICE_STD_DIGITS}
         if kinds[name] == "double":
-            return F.bround(name, places.get(name, digits)).alias(name)
+            places = _places(name) if digits == DIGITS else digits
+            return F.bround(name, places).alias(name)
         if kinds[name] == "bigint":
             return F.col(name).cast("double").alias(name)
         return F.col(name)
@@ -108,17 +107,31 @@ def interactions(spark, folder):
     return _out(out, settings.INTERACTION_FEATURES)
 
 
+# Sums of these differ between engines in the last bits, so their largest value is compared.
+FRACTIONAL = tuple(
+    c for c in settings.FEATURE_COLUMNS
+    if c.endswith(("_mean", "_std", "_sin", "_cos", "_avg_sales", "_avg", "_pct", "_7_28"))
+    or c in ("discount", "price_momentum", "sales_expanding_mean")
+)
+
+
+def _places(name: str) -> int:
+    if name.endswith("expanding_mean"):
+        return EXPANDING_DIGITS
+    return PRICE_STD_DIGITS if name.startswith("price_r") and name.endswith("_std") else DIGITS
+
+
 def feature_table(spark, folder):
-    """The 80 model features of every series on the last 500 days, in a few check sums per series."""
+    """The 80 model features of every series on the last 500 days, summed up per series and split."""
     table = trade_features(spark, folder)
-    number = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in settings.FEATURE_COLUMNS]
-    return table.groupBy("store_id", "item_id", "split").agg(
-        F.count("*").alias("n_rows"),
-        *[
-            (F.bround(F.sum(x), 3) + 0.0).alias(c)
-            for c, x in zip(settings.FEATURE_COLUMNS, number, strict=True)
-        ],
-    )
+    checks = []
+    for c in settings.FEATURE_COLUMNS:
+        x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+        checks.append(
+            (F.bround(F.max(x), _places(c)) if c in FRACTIONAL else F.bround(F.sum(x), 4)).alias(c)
+        )
+    totals = table.groupBy("store_id", "item_id", "split").agg(F.count("*").alias("n_rows"), *checks)
+    return totals.withColumns({c: F.col(c) + 0.0 for c in settings.FEATURE_COLUMNS})
 
 
 def feature_list(spark, folder):
@@ -218,12 +231,8 @@ _ALL_PREV = (
 )
 
 
-def _r(x: str, name: str, digits: int = DIGITS) -> str:
-    if name.endswith("expanding_mean"):
-        digits = EXPANDING_DIGITS
-    if name in ("price_r7_std", "price_r28_std"):
-        digits = PRICE_STD_DIGITS
-    return f"round_even({x}, {digits}) + 0.0 AS {name}"
+def _r(x: str, name: str, digits: int | None = None) -> str:
+    return f"round_even({x}, {_places(name) if digits is None else digits}) + 0.0 AS {name}"
 
 
 _CALENDAR = f"""
@@ -320,7 +329,11 @@ _EXPRESSIONS = {
 }
 _SERIES_SQL = ", ".join(f"{x} AS {name}" for name, x in _EXPRESSIONS.items())
 _SUMS = ", ".join(
-    f"round_even(sum(coalesce(CAST({c} AS DOUBLE), 0)), 3) + 0.0 AS {c}" for c in settings.FEATURE_COLUMNS
+    _r(
+        f"{'max' if c in FRACTIONAL else 'sum'}(coalesce(CAST({c} AS DOUBLE), 0))", c,
+        _places(c) if c in FRACTIONAL else 4,
+    )
+    for c in settings.FEATURE_COLUMNS
 )
 
 _FEATURES = f"""
