@@ -185,10 +185,9 @@ def rounded_balances(spark, folder):
 NAIVE_MODELS = ("last_day", "last_week", "mean_28")
 
 
-def _naive_predictions(spark, folder):
-    rows = X.add_series_columns(
-        trade.dense_sales(spark, folder), X.lags((1, 7, 28)), X.rolling_mean((28,))
-    )
+def _naive_predictions(spark, folder, panel=None):
+    dense = trade.dense_sales(spark, folder) if panel is None else panel
+    rows = X.add_series_columns(dense, X.lags((1, 7, 28)), X.rolling_mean((28,)))
     validation = S.mark_split(rows).filter(F.col("split") == "val")
     return validation.select(
         "store_id", "item_id", "day_num", "sales", "sales_lag_28",

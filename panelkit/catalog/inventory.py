@@ -11,6 +11,7 @@ from panelkit.operators import features as X
 from panelkit.operators import inventory as I
 from panelkit.operators import metrics as M
 from panelkit.sources import trade
+from panelkit.storage import stage
 
 
 def _requests(spark, folder):
@@ -77,13 +78,14 @@ def inventory_recommendations(spark, folder):
 
 def forecast_context(spark, folder):
     """Forecast, history and metrics of three naive models for every series."""
-    predictions = _naive_predictions(spark, folder)
+    dense = stage(trade.dense_sales(spark, folder), "dense")
+    predictions = _naive_predictions(spark, folder, dense)
     metrics = M.forecast_errors(predictions)
     latest = A.latest_rows(
         predictions.select("store_id", "item_id", "day_num", "model", F.col("prediction").alias("predicted_sales")),
         key=("store_id", "item_id", "model"),
     )
-    history = A.history(trade.dense_sales(spark, folder))
+    history = A.history(dense)
     return I.forecast_rows(latest, history, metrics)
 
 

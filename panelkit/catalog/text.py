@@ -99,23 +99,27 @@ def text_numbers(spark, folder):
     return texts.select("doc_id", F.posexplode(numbers_in(F.col("text"))).alias("position", "number"))
 
 
-def _forecasts(spark, folder):
+def _panel(spark, folder):
+    """The panel, written once for the many reports on it."""
+    return stage(trade.panel(spark, folder), "panel")
+
+
+def _forecasts(spark, folder, panel):
     """The 28-day mean as the forecast of every series' last day."""
-    predictions = _naive_predictions(spark, folder).filter(F.col("model") == "mean_28")
+    predictions = _naive_predictions(spark, folder, panel).filter(F.col("model") == "mean_28")
     latest = A.latest_rows(predictions)
     metrics = M.forecast_errors(predictions)
-    keys = A.catalog_profile(trade.panel(spark, folder))
+    keys = panel.select("store_id", "item_id", "cat_id", "state_id").distinct()
     return latest.join(metrics.select("model", "rmse"), "model").join(
         keys, ["store_id", "item_id"]
     ).withColumn("predicted_sales", F.greatest(F.lit(0.0), F.col("prediction")))
 
 
-def _retail_documents(spark, folder):
-    panel = trade.panel(spark, folder)
-    averages = A.series_average(trade.dense_sales(spark, folder))
+def _retail_documents(spark, folder, panel):
+    averages = A.series_average(panel)
     return D.union_documents(
         D.catalog_documents(A.catalog_profile(panel)),
-        D.forecast_documents(_forecasts(spark, folder)),
+        D.forecast_documents(_forecasts(spark, folder, panel)),
         D.knowledge_documents(spark),
         D.store_documents(A.store_pattern(panel)),
         D.category_documents(A.category_pattern(panel)),
@@ -126,7 +130,7 @@ def _retail_documents(spark, folder):
 
 def retail_documents(spark, folder):
     """All seven kinds of documents of the panel."""
-    return _retail_documents(spark, folder).select("id", "content", "type")
+    return _retail_documents(spark, folder, _panel(spark, folder)).select("id", "content", "type")
 
 
 def document_store(spark, folder):
@@ -142,8 +146,8 @@ def document_store(spark, folder):
 
 def top_forecasts(spark, folder):
     """The five highest forecasts, next to the historical average."""
-    profile = A.catalog_profile(trade.panel(spark, folder))
-    top = Q.with_catalog(Q.top_forecasts(_forecasts(spark, folder).drop("avg_sales")), profile)
+    panel = _panel(spark, folder)
+    top = Q.with_catalog(Q.top_forecasts(_forecasts(spark, folder, panel)), A.catalog_profile(panel))
     return top.select(
         "store_id", "item_id", F.bround("predicted_sales", 8).alias("predicted_sales"),
         F.bround("avg_sales", 8).alias("avg_sales"),
@@ -151,15 +155,15 @@ def top_forecasts(spark, folder):
 
 
 def horizon_demand(spark, folder):
-    return Q.horizon_total(Q.top_forecasts(_forecasts(spark, folder)))
+    return Q.horizon_total(Q.top_forecasts(_forecasts(spark, folder, _panel(spark, folder))))
 
 
 def daily_report(spark, folder):
-    panel = trade.panel(spark, folder)
-    averages = A.series_average(trade.dense_sales(spark, folder))
+    panel = _panel(spark, folder)
+    averages = A.series_average(panel)
     return Q.daily_report(
-        _forecasts(spark, folder), A.underperformers(averages), A.store_pattern(panel),
-        A.category_pattern(panel), M.forecast_errors(_naive_predictions(spark, folder)),
+        _forecasts(spark, folder, panel), A.underperformers(averages), A.store_pattern(panel),
+        A.category_pattern(panel), M.forecast_errors(_naive_predictions(spark, folder, panel)),
     )
 
 
@@ -182,13 +186,12 @@ def _questions(spark, folder):
 
 def question_answers(spark, folder):
     """An answer with its sources for every question."""
-    documents = stage(_retail_documents(spark, folder), "retail_documents")
+    panel = _panel(spark, folder)
+    documents = stage(_retail_documents(spark, folder, panel), "retail_documents")
     questions = stage(_questions(spark, folder), "questions")
     retrieved = R.retrieve(questions, documents, 8).join(documents, "id")
-    panel = trade.panel(spark, folder)
-    averages = A.series_average(trade.dense_sales(spark, folder))
-    profile = A.catalog_profile(panel)
-    top = Q.with_catalog(Q.top_forecasts(_forecasts(spark, folder).drop("avg_sales")), profile)
+    averages = A.series_average(panel)
+    top = Q.with_catalog(Q.top_forecasts(_forecasts(spark, folder, panel)), A.catalog_profile(panel))
     restock = Q.restock_answer(top)
     fixed = D.union_documents(
         restock.withColumn("intent", F.lit("restock")), restock.withColumn("intent", F.lit("top")),

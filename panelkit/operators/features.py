@@ -344,6 +344,16 @@ def encode(df: DataFrame, columns: Sequence[str], codes: DataFrame, missing: int
     return df
 
 
+def encode_few(df: DataFrame, column: str, missing: int = -1) -> DataFrame:
+    """`encode` for a column that has a handful of values by its nature, such as weekdays.
+
+    The sorted values are one small array, found once and looked up in every row: no join.
+    """
+    values = df.agg(F.array_sort(F.collect_set(column))).scalar()
+    place = F.array_position(values, F.col(column)).cast("int") - 1
+    return df.withColumn(f"{column}_enc", F.coalesce(place, F.lit(missing)))
+
+
 AVERAGES = {
     "store_id": "store_avg_sales", "cat_id": "cat_avg_sales", "item_id": "item_avg_sales",
 }
@@ -353,17 +363,21 @@ def add_encodings(
     df: DataFrame,
     columns: Sequence[str] = settings.ENCODED,
     key: Sequence[str] = settings.SERIES_KEY,
+    few: Sequence[str] = ("weekday",),
 ) -> DataFrame:
     """Label-encode series attributes and other low-cardinality columns of a panel.
 
-    The codes are worked out on distinct combinations, not on the rows.
+    The codes are worked out on distinct combinations, not on the rows; `few` names the columns
+    with a handful of values.
     """
     of_series = [c for c in columns if c in {*key, *settings.SERIES_ATTRIBUTES}]
-    others = [c for c in columns if c not in of_series]
+    others = [c for c in columns if c not in of_series and c not in few]
     series = df.select(*dict.fromkeys([*key, *of_series])).distinct()
     series = stage(series, "series")
     encoded = encode(series, of_series, value_codes(series, of_series))
     out = df.join(encoded.select(*key, *[f"{c}_enc" for c in of_series]), list(key))
+    for column in (c for c in columns if c in few):
+        out = encode_few(out, column)
     return encode(out, others, value_codes(df.select(*others).distinct(), others)) if others else out
 
 

@@ -68,8 +68,7 @@ def build_features(
 ) -> DataFrame:
     """The feature table of any dense panel that carries its calendar columns."""
     dated = X.add_calendar_features(panel)
-    weekdays = panel.select("weekday").distinct()
-    coded = X.encode(dated, ["weekday"], value_codes(weekdays, ["weekday"]))
+    coded = X.encode_few(dated, "weekday")
     table = assemble(coded, describe_series(X.series_table(panel)), snap, spec)
     return mark_split(X.drop_raw_columns(table))
 
@@ -87,19 +86,10 @@ def trade_features(
     on the series alone on the sold cells (days without sales add nothing to a sum); only the
     windows see the dense rows.
     """
-    first, last = trade.shipping_days(spark, folder)
-    if history_days is not None:
-        first = max(first, last - history_days + 1)
+    cells = trade.daily_cells(spark, folder)
+    first, last = trade.day_range(cells, history_days)
     days = X.add_calendar_features(P.fill_events(trade.calendar(spark, first, last)))
-    days = X.encode(days, ["weekday"], value_codes(days, ["weekday"]))
-    cells = trade.sales_cells(spark, folder)
-    dense = P.densify(cells, first, last)
-    panel = P.fill_prices(
-        P.join_prices(
-            dense.join(trade.sized_calendar(days, first, last), settings.ORDER, "left"),
-            trade.week_prices(spark, folder),
-        )
-    )
+    panel = trade.dated_panel(cells, X.encode_few(days, "weekday"), first, last)
     recent = F.when(F.col(settings.ORDER) >= first, F.col(settings.VALUE))
     series = cells.groupBy(*settings.SERIES_KEY, *settings.SERIES_ATTRIBUTES).agg(
         F.coalesce(F.sum(recent), F.lit(0)).alias("_sum"),

@@ -16,6 +16,7 @@ from panelkit.functions.columns import choose_by, saturday_first
 from panelkit.functions.sizing import BROADCAST_ROWS
 from panelkit.operators import panel as P
 from panelkit.sources import schemas
+from panelkit.storage import stage
 
 # The Monday that week and day numbers count from.
 ORIGIN = dt.date(1995, 1, 2)
@@ -66,7 +67,7 @@ RAW_KEY = ("r_name", "door", "p_brand")
 
 def panel_keys() -> dict[str, Column]:
     """Names of store, item, department, category and state, from the raw parts."""
-    number = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
+    number = F.substring_index("p_brand", "#", -1).cast("int")
     state = F.replace("r_name", F.lit(" "), F.lit("_"))
     return {
         "store_id": F.concat_ws("_", state, "door"),
@@ -91,6 +92,11 @@ def week_of(day: Column) -> Column:
     return F.floor((day - 1) / 7).cast("int")
 
 
+def nearest_cent() -> Column:
+    """c cents over u units, to the cent, in whole numbers up to the last step."""
+    return F.expr("(2 * c + u) div (2 * u)") / F.lit(100.0)
+
+
 def week_prices(spark: SparkSession, folder: str) -> DataFrame:
     """Average unit price per store, item and week, to the cent; weeks without sales are absent."""
     per_week = (
@@ -99,10 +105,9 @@ def week_prices(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.sum("cents").alias("c"), F.sum("units").alias("u"))
     )
     keys = panel_keys()
-    nearest_cent = F.expr("(2 * c + u) div (2 * u)")
     return per_week.select(
         keys["store_id"].alias("store_id"), keys["item_id"].alias("item_id"), "wm_yr_wk",
-        (nearest_cent / F.lit(100.0)).alias("sell_price"),
+        nearest_cent().alias("sell_price"),
     )
 
 
@@ -154,6 +159,38 @@ def snap_by_state(state: Column) -> Column:
     return choose_by(state, SNAP_COLUMNS)
 
 
+def daily_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Units and cents per store, item and day, written once.
+
+    It is what the order lines come down to for everything that follows: range of days, sales,
+    prices and series totals are all taken from it instead of from the lines again.
+    """
+    cells = order_lines(spark, folder).groupBy(*RAW_KEY, settings.ORDER).agg(
+        F.sum("units").alias("sales"), F.sum("cents").alias("cents")
+    )
+    return stage(
+        cells.select(
+            *[c.alias(n) for n, c in panel_keys().items()], settings.ORDER, "sales", "cents"
+        ),
+        "daily_cells",
+    )
+
+
+def day_range(cells: DataFrame, history_days: int | None = None) -> tuple[int, int]:
+    """First and last day of the cells, or of their newest days."""
+    first, last = cells.agg(F.min(settings.ORDER), F.max(settings.ORDER)).first()
+    return (first if history_days is None else max(first, last - history_days + 1)), last
+
+
+def cell_prices(cells: DataFrame) -> DataFrame:
+    """`week_prices` from daily cells."""
+    return (
+        cells.groupBy("store_id", "item_id", week_of(F.col(settings.ORDER)).alias("wm_yr_wk"))
+        .agg(F.sum("cents").alias("c"), F.sum("sales").alias("u"))
+        .select("store_id", "item_id", "wm_yr_wk", nearest_cent().alias("sell_price"))
+    )
+
+
 def dense_sales(spark: SparkSession, folder: str, history_days: int | None = None) -> DataFrame:
     """Sales for every series and day; with `history_days`, only the newest days."""
     first, last = shipping_days(spark, folder)
@@ -162,16 +199,23 @@ def dense_sales(spark: SparkSession, folder: str, history_days: int | None = Non
     return P.densify(sales_cells(spark, folder), first, last)
 
 
+def dated_panel(cells: DataFrame, days: DataFrame, first_day: int, last_day: int) -> DataFrame:
+    """Dense sales with the given calendar, and prices with their gaps filled.
+
+    One exchange of the sold cells on the series key serves the densifying, the price join and
+    the fill; the dense rows themselves never move.
+    """
+    dense = P.densify(cells.drop("cents"), first_day, last_day)
+    dated = dense.join(sized_calendar(days, first_day, last_day), settings.ORDER, "left")
+    return P.fill_prices(P.join_prices(dated, cell_prices(cells)))
+
+
 def panel(spark: SparkSession, folder: str, history_days: int | None = None) -> DataFrame:
     """The dense panel with calendar and prices: the input of every feature operator."""
-    first, last = shipping_days(spark, folder)
-    if history_days is not None:
-        first = max(first, last - history_days + 1)
+    cells = daily_cells(spark, folder)
+    first, last = day_range(cells, history_days)
     days = P.fill_events(calendar(spark, first, last))
-    dense = P.densify(sales_cells(spark, folder), first, last)
-    dated = dense.join(sized_calendar(days, first, last), settings.ORDER, "left")
-    priced = P.fill_prices(P.join_prices(dated, week_prices(spark, folder)))
-    return priced.select(
+    return dated_panel(cells, days, first, last).select(
         F.concat_ws("_", "item_id", "store_id").alias("id"),
         "store_id", "item_id", "dept_id", "cat_id", "state_id", "day_num", "sales",
         *[c for c in days.columns if c != "day_num"], "sell_price",
