@@ -16,12 +16,14 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row with the interpolated percentiles, one column per entry of `wanted`.
 
-    A quantile sketch brackets the two order statistics that a percentile lies between; its rank
-    error is at most rows/accuracy, so brackets of twice that on either side surely hold them.
-    Rows below a bracket are only counted, and only the values inside it are ranked.
+    A quantile sketch brackets the two order statistics that a percentile lies between. Its rank
+    error is at most rows/accuracy and they lie within two ranks of the share asked for, so with
+    more rows than `accuracy`, four times the error on either side surely holds them. Up to
+    `accuracy` rows, the bracket is everything. Rows below a bracket are only counted, and only
+    the values inside it are ranked.
     """
     values = df.select(F.col(column).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    margin = 2.0 / accuracy
+    margin = 4.0 / accuracy
     sketch = values.agg(
         F.count("*").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
         *[
@@ -31,12 +33,20 @@ def exact_percentiles(
             for name, q in wanted.items()
         ],
     )
+    few = F.col("_n") <= accuracy
+
+    def edge(name: str, q: float, side: int):
+        whole, beyond = ("_min", q <= margin) if side == 0 else ("_max", q >= 1 - margin)
+        if beyond:
+            return F.col(whole)
+        return F.when(few, F.col(whole)).otherwise(F.get(f"_b_{name}", F.lit(side)))
+
     brackets = sketch.select(F.array(*[
         F.struct(
             F.lit(name).alias("name"),
             (F.lit(q) * (F.col("_n") - 1)).alias("at"),
-            (F.col("_min") if q <= margin else F.get(f"_b_{name}", F.lit(0))).alias("lo"),
-            (F.col("_max") if q >= 1 - margin else F.get(f"_b_{name}", F.lit(1))).alias("hi"),
+            edge(name, q, 0).alias("lo"),
+            edge(name, q, 1).alias("hi"),
         )
         for name, q in wanted.items()
     ])).scalar()

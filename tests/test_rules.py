@@ -57,13 +57,15 @@ def test_rounding_and_labels(spark):
     assert (row["lag"], row["ctx"]) == ("Lag", "Contextual")
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_percentiles_equal_sorting(spark, seed):
+@pytest.mark.parametrize("seed, size, accuracy", [
+    (0, 500, 100), (1, 500, 1000), (2, 700, 1199), (3, 1, 100), (4, 7, 10), (5, 33, 50), (6, 60, 100),
+])
+def test_percentiles_equal_sorting(spark, seed, size, accuracy):
     draw = np.random.default_rng(seed)
-    values = np.concatenate([draw.normal(size=500), np.full(400, 1.0), draw.integers(0, 5, 300)])
+    values = np.concatenate([draw.normal(size=size), np.full(size * 4 // 5, 1.0), draw.integers(0, 5, size * 3 // 5)])
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     wanted = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.9, "e": 1.0}
-    got = exact_percentiles(df, "x", wanted, accuracy=100).first()
+    got = exact_percentiles(df, "x", wanted, accuracy=accuracy).first()
     for name, q in wanted.items():
         assert math.isclose(got[name], float(np.quantile(values, q)), rel_tol=1e-12)
 
