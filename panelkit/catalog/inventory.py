@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkit.catalog import sql
-from panelkit.catalog.analytics import NAIVE_MODELS, _metrics_sql, _naive_predictions
+from panelkit.catalog.analytics import _metrics_sql, _naive_predictions
 from panelkit.operators import analytics as A
 from panelkit.operators import features as X
 from panelkit.operators import inventory as I

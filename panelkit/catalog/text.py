@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelkit.catalog import sql
 from panelkit.catalog.analytics import _AVERAGES, _PREDICTIONS, _errors, _naive_predictions
-from panelkit.functions.columns import fixed_text, numbers_in
+from panelkit.functions.columns import numbers_in
 from panelkit.functions.text import GENERAL, INTENTS, STOP_WORDS
 from panelkit.operators import analytics as A
 from panelkit.operators import answers as Q
