@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("bpe", "warc", "mixing")
+PARTS = ("bpe", "warc", "mixing", "minhash")
 
 
 def _merged(attribute: str) -> dict:
