@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("bpe", "quality_rules", "warc", "mixing", "minhash")
+PARTS = ("bpe", "quality_rules", "warc", "toxicity", "mixing", "minhash")
 
 
 def _merged(attribute: str) -> dict:
