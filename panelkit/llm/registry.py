@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("bpe", "quality_rules", "warc", "toxicity", "mixing", "minhash")
+PARTS = ("bpe", "quality_rules", "warc", "toxicity", "mixing", "minhash",
+         "quality_model")
 
 
 def _merged(attribute: str) -> dict:
