@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 PARTS = ("bpe", "quality_rules", "warc", "toxicity", "mixing", "minhash",
-         "quality_model")
+         "quality_model", "context_tree", "url_filter", "pivots")
 
 
 def _merged(attribute: str) -> dict:
