@@ -21,14 +21,16 @@ from panelkit.llm.shingles import mix, shingle_sets
 from panelkit.storage import stage
 
 #: A pair at similarity s shares no band with probability (1 - s ** ROWS) ** BANDS:
-#: 4e-7 at 0.85 and 3e-5 at 0.8.
-BANDS, ROWS = 26, 5
+#: 3e-7 at 0.85 and 6e-5 at 0.8.
+BANDS, ROWS = 32, 6
 #: Signatures are compared in batches of so many values.
-BATCH = 26
+BATCH = 32
 #: A pair is pruned once its chance of reaching the threshold is below this.
 MISS = 1e-6
-#: Rounds in which the documents of a band are compared with one of them only.
-STAR_ROUNDS = 2
+#: Bytes of text that a task works on at a time.
+SLICE = 1 << 20
+#: Members of a band that are compared with one another in one task; larger bands are cut.
+CHUNK = 256
 
 _SIZE = BANDS * ROWS
 _FACTORS = mix(np.arange(1, _SIZE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -84,7 +86,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             sets = shingle_sets(batch.column("text").to_pylist())
             counts = np.array([len(s) for s in sets], dtype=np.int64)
             full = np.flatnonzero(counts)
@@ -137,7 +139,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
-        for batch in slices(batches, "right"):
+        for batch in slices(batches, "right", SLICE):
             ids = [batch.column(c).to_pylist() for c in ("a", "b")]
             wanted = dict.fromkeys(ids[0] + ids[1])
             known = {i: known[i] for i in wanted if i in known}
@@ -165,27 +167,100 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _labelled(shared: DataFrame, links: DataFrame | None) -> DataFrame:
-    """(key, id, component): the components that the links found so far make."""
-    if links is None:
-        return shared.withColumn("component", F.col("id"))
-    found = stage(components(links), "components").withColumnRenamed("node", "id")
-    return shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
+def _star_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b): each member of a band (key, id) with three of its members.
 
-def _open_bands(labelled: DataFrame, salt: int) -> DataFrame:
-    """(key, centre, centre_component) of bands with two components or more."""
-    draw = F.struct(F.xxhash64("id", F.lit(salt)).alias("h"), "id", "component")
+    One is the member that shares bands with most others (in a group of copies this tends to be what
+    they were copied from), one is drawn anew for each band, one is the same for all bands. The
+    pairs grow with the members of the bands, not with their squares.
+    """
+    sizes = shared.groupBy("key").agg(F.count("*").alias("n"))
+    fame = shared.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("fame"))
+    known = shared.join(fame, "id")
+    centres = known.groupBy("key").agg(
+        F.max(F.struct("fame", "id")).alias("c0"),
+        F.max(F.struct(F.xxhash64("id", "key").alias("h"), "id")).alias("c1"),
+        F.max(F.struct(F.xxhash64("id").alias("h"), "id")).alias("c2"),
+    ).select("key", F.array_distinct(F.array("c0.id", "c1.id", "c2.id")).alias("centres"))
     return (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"),
-             F.min(draw).alias("centre"))
-        .filter("least < most")
-        .select("key", F.col("centre.id").alias("centre"),
-                F.col("centre.component").alias("centre_component"))
+        shared.join(centres, "key").select("id", F.explode("centres").alias("centre"))
+        .filter("id <> centre")
+        .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+        .distinct()
     )
 
 
+def _pairs_in_runs(run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows with equal neighbouring values of `run`, by their distance."""
+    ends = np.searchsorted(run, run, side="right")
+    first = np.arange(len(run))
+    for distance in range(1, len(run)):
+        first = first[first + distance < ends[first]]
+        if not len(first):
+            return
+        yield first, first + distance
+
+
+def _open_pairs(shared: DataFrame, labels: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs in a band that are in different components and survive their signatures.
+
+    Bands whose members are all in one component are done. Members of the others meet in tasks of
+    one band each, or of two chunks of a large band, and only what survives there leaves the task.
+    """
+    named = shared.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = stage(named, "labelled_bands")
+    unfinished = named.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
+    ).filter("least < most").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    members = (
+        named.join(unfinished, "key").join(marks, "id")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                "own", "id", "component", "n_shingles", "signature")
+        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    )
+    threshold = percent / 100
+
+    def survivors(rows: pa.RecordBatch) -> pa.RecordBatch:
+        key, i, j, own, ids, component, n = (rows.column(k).to_numpy() for k in range(7))
+        marks = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint8).reshape(-1, _SIZE)
+        fresh = np.ones(len(key), dtype=bool)
+        fresh[1:] = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+        pairs = []
+        for a, b in _pairs_in_runs(np.cumsum(fresh)):
+            least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+            on = (component[a] != component[b]) & (100 * least >= percent * most)
+            on &= (i[a] == j[a]) | (own[a] != own[b])
+            a, b = a[on], b[on]
+            on = surviving(marks[a], marks[b], threshold)
+            pairs.append(np.stack([ids[a[on]], ids[b[on]]]))
+        both = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both.min(0)), pa.array(both.max(0))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0:1]
+            if not rows:
+                held = []
+                continue
+            last = [rows[0].column(k)[rows[0].num_rows - 1].as_py() for k in range(3)]
+            same = np.logical_and.reduce([
+                rows[0].column(k).to_numpy() == x for k, x in enumerate(last)
+            ])
+            cut = int(np.argmax(same))
+            held = [rows[0].slice(cut)]
+            if cut:
+                yield survivors(rows[0].slice(0, cut))
+        if held:
+            yield survivors(held[0])
+
+    return members.mapInArrow(run, "a long, b long").distinct()
+
+
 def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of `docs` (doc_id, text, any others).
 
@@ -193,12 +268,12 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     lower-cased). component_id is the smallest doc_id reachable by links, kept whether that is the
     document itself.
 
-    Rows with equal sets form a class first and go on as one; only classes are compared. Within a
-    band the members are compared with one member (two rounds, another one each time), which ties
-    most of a large group together in a number of pairs that grows with its size only. Then every
-    pair of members whose components still differ is compared, so no link between components is
-    left out. All candidates come from the bands, all pass the Bayesian comparison, and every link
-    is verified on full sets.
+    Rows with equal sets form a class first and go on as one; only classes are compared. Members of
+    a band are first compared with three of them, which ties a large group together in a number of
+    pairs that grows with its size only. Then all members of a band whose components still differ
+    are compared, in tasks of bounded size, so no link between components is left out. All
+    candidates come from the bands, all pass the Bayesian comparison, and every link is verified on
+    full sets.
 
     Texts that are null or without words have no shingles and link with nothing. Rows that share a
     doc_id count as one document. Rows with a null doc_id link with nothing, have a null
@@ -211,36 +286,28 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = stage(linkable.groupBy(*same).agg(F.min("doc_id").alias("id")), "classes")
     chosen = (
         linkable.withColumnRenamed("doc_id", "id").join(classes, [*same, "id"])
-        .dropDuplicates(["id"]).select("id", "bands", "signature")
+        .dropDuplicates(["id"]).select("id", "n_shingles", "bands", "signature")
     )
     chosen = stage(chosen, "representatives")
     keyed = chosen.select("id", F.explode("bands").alias("key"))
     several = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     shared = stage(keyed.join(several, "key"), "shared_bands")
     near = shared.select("id").distinct()
-    marks = stage(chosen.join(near, "id", "left_semi").select("id", "signature"), "signatures")
+    marks = stage(
+        chosen.join(near, "id", "left_semi").select("id", "n_shingles", "signature"),
+        "signatures",
+    )
     texts = stage(
         docs.select(F.col("doc_id").cast("long").alias("id"), "text")
         .join(near, "id", "left_semi").dropDuplicates(["id"]), "candidate_texts",
     )
-    links = None
-    for turn in range(STAR_ROUNDS + 1):
-        labelled = stage(_labelled(shared, links), "labelled_bands")
-        bands = _open_bands(labelled, turn)
-        if turn < STAR_ROUNDS:
-            pairs = labelled.join(bands, "key").filter("component <> centre_component").select(
-                F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")
-            )
-        else:
-            left = stage(labelled.join(bands.select("key"), "key", "left_semi"), "open_bands")
-            right = left.select("key", F.col("id").alias("id2"), F.col("component").alias("other"))
-            pairs = left.join(right, "key").filter("component < other").select(
-                F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")
-            )
-        candidates = stage(_unpruned(pairs.distinct(), marks, threshold), "unpruned")
-        found = stage(_verified(candidates, texts, percent), "links")
-        links = found if links is None else stage(links.unionByName(found), "all_links")
-    found = components(links).withColumnRenamed("node", "id")
+    likely = stage(_unpruned(_star_pairs(shared), marks, threshold), "star_pairs")
+    links = stage(_verified(likely, texts, percent), "star_links")
+    found = stage(components(links), "components").withColumnRenamed("node", "id")
+    others = stage(_open_pairs(shared, found, marks, percent), "open_pairs")
+    more = stage(_verified(others, texts, percent), "open_links")
+    if not more.isEmpty():
+        found = components(links.unionByName(more)).withColumnRenamed("node", "id")
     named = classes.join(found, "id", "left").select(
         *same, F.coalesce("component", "id").alias("component_id")
     )
