@@ -96,7 +96,7 @@ def product_actions(spark, folder):
 
 
 def slowest_per_store(spark, folder):
-    slow = A.slowest_per_store(_averages(spark, folder))
+    slow = A.slowest_per_store(A.underperformers(_averages(spark, folder)))
     return slow.select("store_id", F.explode("slowest").alias("s")).select(
         "store_id", "s.rank", "s.item_id", F.bround("s.avg_sales", 8).alias("avg_sales")
     )
@@ -244,9 +244,9 @@ def _averages_sql(body: str) -> str:
 
 def _action(x: str) -> str:
     return f"""CASE WHEN {x} < 0.2 THEN 'delist' WHEN {x} < 0.5 THEN 'promote' ELSE 'monitor' END AS action,
-       CASE WHEN {x} < 0.2 THEN 'Critical: average < 0.2/day. Consider delisting to free shelf space.'
-            WHEN {x} < 0.5 THEN 'Low: average 0.2-0.5/day. Test price promotions or end-cap placement.'
-            ELSE 'Below average: monitor for 2-4 weeks before action.' END AS reasoning"""
+       CASE WHEN {x} < 0.2 THEN 'Sells less than once in five days; its shelf space would serve another product better.'
+            WHEN {x} < 0.5 THEN 'Sells less than once in two days; a lower price or a better spot may be tried first.'
+            ELSE 'Sells at least once in two days; look again after a few weeks.' END AS reasoning"""
 
 
 def _group_of(x: str) -> str:
@@ -357,7 +357,8 @@ SELECT store_id, item_id, round_even(avg_sales / 10, 8) AS avg_sales, {_action('
 FROM averages"""),
     "slowest_per_store": _averages_sql("""
 SELECT store_id, CAST(rank AS INTEGER) AS rank, item_id, round_even(avg_sales, 8) AS avg_sales FROM (
-  SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY avg_sales, item_id) AS rank FROM averages)
+  SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY avg_sales, item_id) AS rank
+  FROM averages WHERE avg_sales <= (SELECT quantile_cont(avg_sales, 0.1) FROM averages))
 WHERE rank <= 5"""),
     "sales_history": sql.dense("""
 SELECT store_id, item_id, round_even(avg(sales), 8) AS mean_daily_sales,

@@ -144,22 +144,22 @@ SELECT store_id, item_id, round_even(daily, 2) AS daily_demand, round_even(point
     "order_quantity": _sql("SELECT store_id, item_id, qty AS recommended_order_qty FROM recommended"),
     "stock_status": _sql("SELECT store_id, item_id, stock_status, urgency FROM recommended"),
     "days_of_supply": _sql("""
-SELECT store_id, item_id, round_even(stock / nullif(round_even(daily, 2), 0), 4) AS days_of_supply,
+SELECT store_id, item_id, round_even(stock / nullif(daily, 0), 4) AS days_of_supply,
        CASE WHEN stock IS NULL THEN 'unknown' WHEN stock <= 0 THEN 'urgent'
-            WHEN round_even(daily, 2) = 0 OR stock / round_even(daily, 2) > 21 THEN 'adequate'
-            WHEN stock / round_even(daily, 2) >= 14 THEN 'low' WHEN stock / round_even(daily, 2) >= 7 THEN 'medium'
-            WHEN stock / round_even(daily, 2) >= 3 THEN 'high' ELSE 'critical' END AS supply_tier
+            WHEN daily = 0 OR stock / daily > 21 THEN 'adequate'
+            WHEN stock / daily >= 14 THEN 'low' WHEN stock / daily >= 7 THEN 'medium'
+            WHEN stock / daily >= 3 THEN 'high' ELSE 'critical' END AS supply_tier
 FROM recommended"""),
     "order_reasoning": _sql(f"""
 SELECT store_id, item_id,
-  'Expected demand of ' || {_fixed('forecast', 0)} || ' units over 28 days (~' || {_fixed('daily', 1)}
-  || '/day). Safety stock of ' || {_fixed('safety', 0)} || ' units accounts for demand variability (σ='
-  || {_fixed('demand_std', 2)} || ') at ' || {_fixed('level * 100', 0)} || '% service level with '
-  || CAST(lead AS VARCHAR) || '-day lead time. ' ||
-  CASE WHEN stock IS NULL THEN 'No current stock data provided.'
-       ELSE 'Current stock (' || {_fixed('stock', 0)} || ') is ' ||
-            CASE WHEN stock_status <> 'adequate' THEN 'below reorder point, replenishment recommended'
-                 ELSE 'sufficient' END END AS reasoning
+  {_fixed('daily', 1)} || ' units a day, ' || {_fixed('forecast', 0)} || ' in 28 days, are forecast. A delivery takes '
+  || CAST(lead AS VARCHAR) || ' days; to be served in ' || {_fixed('level * 100', 0)}
+  || '% of cases although demand deviates by ' || {_fixed('demand_std', 2)} || ', ' || {_fixed('safety', 0)}
+  || ' units are kept in reserve. ' ||
+  CASE WHEN stock IS NULL THEN 'What is in stock is not known.'
+       ELSE {_fixed('stock', 0)} ||
+            CASE WHEN stock_status <> 'adequate' THEN ' in stock do not cover the lead time: order now.'
+                 ELSE ' in stock are enough for now.' END END AS reasoning
 FROM recommended"""),
     "inventory_recommendations": _sql("""
 SELECT store_id, item_id, round_even(predicted, 4) AS daily_forecast, round_even(forecast, 2) AS forecasted_demand,

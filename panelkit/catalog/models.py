@@ -16,6 +16,9 @@ from panelkit.storage import new_path, stage
 
 # Small ensembles: the queries show the operators, not the last digit of accuracy.
 ROUNDS, PATIENCE, DEPTH = 10, 3, 5
+# The newest days whose rows the models are fitted on: a bound on labelled rows, nothing else. History
+# and deviations next to the forecasts are taken over all days.
+FIT_DAYS = settings.HISTORY_DAYS
 
 _cache: dict = {}
 
@@ -30,7 +33,7 @@ def _once(spark, folder, name, make):
 
 def _table(spark, folder):
     return _once(spark, folder, "table", lambda: stage(
-        L.training_table(trade_features(spark, folder)), "learning_table"
+        L.training_table(trade_features(spark, folder, FIT_DAYS)), "learning_table"
     ))
 
 
@@ -94,14 +97,14 @@ def batch_forecast(spark, folder):
     """Forecast, history and metrics for every series and model."""
     fitted = _all(spark, folder)
     latest = L.predict_all(fitted, _latest(spark, folder)).withColumnRenamed("prediction", "predicted_sales")
-    history = A.history(trade.dense_sales(spark, folder, settings.HISTORY_DAYS))
+    history = A.history(trade.dense_sales(spark, folder))
     return I.forecast_rows(latest.drop("sales", "sales_lag_28", "day_num"), history, model_errors(spark, folder))
 
 
 def model_inventory(spark, folder):
     """A recommendation for every series from the boosted model."""
     predicted = L.predict(_boosted(spark, folder), _latest(spark, folder), settings.SERIES_KEY)
-    deviations = A.demand_deviation(trade.dense_sales(spark, folder, settings.HISTORY_DAYS))
+    deviations = A.demand_deviation(trade.dense_sales(spark, folder))
     return I.inventory_requests(predicted.withColumnRenamed("prediction", "predicted_sales"), deviations)
 
 

@@ -186,7 +186,7 @@ def conflicting_keys(spark, folder):
 
 
 def panel_from_files(spark, folder):
-    """The whole way: wide, calendar and price files to the dense panel of the last 500 days."""
+    """The whole way: wide, calendar and price files to the dense panel of all days."""
     built = build_panel(
         files.read_wide_sales(spark, _wide_csv(spark, folder)),
         files.read_calendar(spark, _calendar_csv(spark, folder)),
@@ -282,7 +282,7 @@ SELECT DISTINCT item_id AS p_brand, replace(state_id, '_', ' ') AS r_name, day_n
 SELECT p_brand, r_name, day_num, count(*) AS n_rows FROM (
   SELECT DISTINCT item_id AS p_brand, replace(state_id, '_', ' ') AS r_name, day_num, units FROM lines)
 GROUP BY ALL HAVING count(*) > 1""",
-    "panel_from_files": sql.panel(f"SELECT {_PANEL_COLUMNS} FROM panel", history=500),
+    "panel_from_files": sql.panel(f"SELECT {_PANEL_COLUMNS} FROM panel"),
     "split_marks": sql.dense("""
 SELECT store_id, item_id, day_num, sales,
        CASE WHEN day_num >= (SELECT max(day_num) FROM dense) - 27 THEN 'val' ELSE 'train' END AS split

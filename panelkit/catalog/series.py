@@ -82,7 +82,7 @@ def label_codes(spark, folder):
     """Codes of the six encoded columns on every row."""
     first, last = trade.shipping_days(spark, folder)
     rows = trade.dense_sales(spark, folder).join(
-        trade.sized_calendar(trade.calendar(spark, first, last), first, last), "day_num"
+        trade.calendar(spark, first, last), "day_num"
     )
     return X.add_encodings(rows).select(*KEY, *[f"{c}_enc" for c in settings.ENCODED])
 
@@ -122,7 +122,7 @@ def _places(name: str) -> int:
 
 
 def feature_table(spark, folder):
-    """The 80 model features of every series on the last 500 days, summed up per series and split."""
+    """The 80 model features of every series on all days, summed up per series and split."""
     table = trade_features(spark, folder)
     checks = []
     for c in settings.FEATURE_COLUMNS:
@@ -408,7 +408,7 @@ SELECT store_id, item_id, day_num,
 FROM panel a"""),
     "feature_table": sql.panel(f"""
 SELECT store_id, item_id, split, count(*) AS n_rows, {_SUMS} FROM everything GROUP BY ALL""",
-        history=500, ctes=_FEATURES),
+        ctes=_FEATURES),
     "feature_list": "SELECT unnest(["
     + ", ".join(f"'{c}'" for c in settings.FEATURE_COLUMNS) + "]) AS feature",
     "warm_up_dropped": sql.panel(f"""

@@ -34,7 +34,7 @@ def document_terms(spark, folder):
 
 
 def vocabulary(spark, folder):
-    terms, _ = R.fit(_texts(spark, folder))
+    terms, _ = R.fit(_texts(spark, folder), max_terms=R.MAX_TERMS)
     return terms.select("term", F.bround("idf", 8).alias("idf"))
 
 
@@ -236,7 +236,7 @@ _INDEX = f"""
 {_counted('doc', 'documents', 'doc_id')},
 vocabulary AS (
   SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf
-  FROM doc_terms GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {R.MAX_TERMS}
+  FROM doc_terms GROUP BY term
 ),
 raw AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM doc_terms JOIN vocabulary USING (term)),
 weights AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS weight FROM raw)"""
@@ -324,7 +324,9 @@ def _section(name: str, table: str, n: int, order: str, key: str, payload: str)
 
 ORACLES = {
     "document_terms": f"WITH {_counted('doc', 'documents', 'doc_id')} SELECT id, term, tf FROM doc_terms",
-    "vocabulary": f"WITH {_INDEX} SELECT term, round_even(idf, 8) AS idf FROM vocabulary",
+    "vocabulary": f"""
+WITH {_INDEX} SELECT term, round_even(idf, 8) AS idf FROM vocabulary WHERE term IN (
+  SELECT term FROM doc_terms GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {R.MAX_TERMS})""",
     "term_weights": f"WITH {_INDEX} SELECT id, term, round_even(weight, 8) AS weight FROM weights",
     "similar_documents": f"WITH {_SEARCH},{_found(5)} {_RANKS}",
     "similar_documents_of_type":
@@ -346,29 +348,30 @@ SELECT doc_id, CAST(unnest(range(len(n))) AS INTEGER) AS position, CAST(unnest(n
 FROM (SELECT doc_id, regexp_extract_all(text, '\d+\.?\d*') AS n FROM documents)""",
     "retail_documents": sql.panel(f"""
 SELECT 'catalog_' || store_id || '_' || item_id AS id,
-  'Product ' || item_id || ' in store ' || store_id || ' (' || state_id || '). Category: ' || cat_id
-  || ', Department: ' || dept_id || '. Average daily sales: ' || {_fixed('avg_sales', 2)} || ', Total sales: '
-  || CAST(total_sales AS VARCHAR) || '. Max daily sales: ' || CAST(max_sales AS VARCHAR) || '. Average price: $'
-  || {_fixed('avg_price', 2)} || '. Zero sales percentage: ' || {_fixed('zero_pct', 1)} || '%. Observed for '
-  || CAST(n AS VARCHAR) || ' days.' AS content, 'catalog' AS type FROM profile
+  'Item ' || item_id || ' of ' || dept_id || ' / ' || cat_id || ', sold at ' || store_id || ', ' || state_id
+  || ': ' || {_fixed('avg_sales', 2)} || ' units a day on average, ' || CAST(max_sales AS VARCHAR)
+  || ' on its best day and ' || CAST(total_sales AS VARCHAR) || ' altogether over ' || CAST(n AS VARCHAR)
+  || ' days, of which ' || {_fixed('zero_pct', 1)} || '% were without a sale. It costs $'
+  || {_fixed('avg_price', 2)} || ' on average.' AS content, 'catalog' AS type FROM profile
 UNION ALL SELECT 'forecast_' || store_id || '_' || item_id,
-  'Forecast for ' || item_id || ' at ' || store_id || ': Predicted daily sales: ' || {_fixed('predicted', 2)}
-  || '. Model: ' || model || ' (RMSE=' || {_fixed('rmse', 4)} || '). Category: ' || cat_id || ', State: '
-  || state_id || '.', 'forecast' FROM forecasts
+  model || ' expects ' || item_id || ' (' || cat_id || ') to sell ' || {_fixed('predicted', 2)}
+  || ' units a day at ' || store_id || ', ' || state_id || '. This forecast has a validation RMSE of '
+  || {_fixed('rmse', 4)} || '.', 'forecast' FROM forecasts
 UNION ALL {_KNOWLEDGE}
-UNION ALL SELECT 'store_pattern_' || store_id, 'Store ' || store_id || ': Total sales ' || CAST(total_sales AS VARCHAR)
-  || ', Average daily ' || {_fixed('avg_daily', 2)} || ', Best single day ' || CAST(best_day AS VARCHAR) || '.',
+UNION ALL SELECT 'store_pattern_' || store_id, store_id || ' is a store that sold ' || CAST(total_sales AS VARCHAR)
+  || ' units: ' || {_fixed('avg_daily', 2)} || ' per product and day, ' || CAST(best_day AS VARCHAR)
+  || ' of one product on the best day.',
   'store_pattern' FROM stores
-UNION ALL SELECT 'cat_pattern_' || cat_id, 'Category ' || cat_id || ': ' || CAST(n_products AS VARCHAR)
-  || ' products, Total sales ' || CAST(total_sales AS VARCHAR) || ', Average daily ' || {_fixed('avg_daily', 2)}
-  || ', Average price $' || {_fixed('avg_price', 2)} || '.', 'category_pattern' FROM categories
-UNION ALL SELECT 'underperformer_' || store_id || '_' || item_id, 'Underperforming product: ' || item_id || ' at '
-  || store_id || '. Average daily sales: ' || {_fixed('avg_sales', 2)}
-  || ' (bottom 10%). A candidate for promotion, repricing, or delisting.', 'underperformer'
+UNION ALL SELECT 'cat_pattern_' || cat_id, cat_id || ' is a category of ' || CAST(n_products AS VARCHAR)
+  || ' items that sold ' || CAST(total_sales AS VARCHAR) || ' units, ' || {_fixed('avg_daily', 2)}
+  || ' per product and day, at a mean price of $' || {_fixed('avg_price', 2)} || '.', 'category_pattern' FROM categories
+UNION ALL SELECT 'underperformer_' || store_id || '_' || item_id, item_id || ' underperforms at '
+  || store_id || ': with ' || {_fixed('avg_sales', 2)}
+  || ' units a day it is in the slowest tenth, where a lower price, a promotion or its place is in question.', 'underperformer'
   FROM averages WHERE avg_sales <= (SELECT lo FROM cut)
-UNION ALL SELECT 'top_performer_' || store_id || '_' || item_id, 'Top performing product: ' || item_id || ' at '
-  || store_id || '. Average daily sales: ' || {_fixed('avg_sales', 2)}
-  || ' (top 10%). A high-velocity item to keep in stock.', 'top_performer'
+UNION ALL SELECT 'top_performer_' || store_id || '_' || item_id, item_id || ' is a top product at '
+  || store_id || ': with ' || {_fixed('avg_sales', 2)}
+  || ' units a day it is in the fastest tenth and must not run out.', 'top_performer'
   FROM averages WHERE avg_sales >= (SELECT hi FROM cut)""", ctes=_REPORT),
     "document_store": f"WITH {_SEARCH},{_found(3)} {_RANKS}",
     "top_forecasts": sql.panel("""

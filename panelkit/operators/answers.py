@@ -60,14 +60,13 @@ def restock_answer(top: DataFrame, days: int = settings.HORIZON_DAYS) -> DataFra
     ).otherwise("All products have low predicted demand; nothing needs restocking now.").alias("answer"))
 
 
-def slow_answer(slow: DataFrame, per_store: int = 5, total: int = 15) -> DataFrame:
-    """The slowest products, at most `total` of them, grouped by store."""
+def slow_answer(slow: DataFrame, per_store: int = 5) -> DataFrame:
+    """The slowest products of every store, at most `per_store` of each."""
     status = F.when(F.col("avg_sales") < 0.2, "critical, consider delisting").when(
         F.col("avg_sales") < 0.5, "low, promote or reprice"
     ).otherwise("below average, monitor")
-    slowest = slow.orderBy("avg_sales", "store_id", "item_id").limit(total)
     rank = F.row_number().over(W.partitionBy("store_id").orderBy("avg_sales", "item_id"))
-    listed = slowest.withColumn("_rank", rank).filter(F.col("_rank") <= per_store)
+    listed = slow.withColumn("_rank", rank).filter(F.col("_rank") <= per_store)
     line = F.concat(
         F.col("store_id"), F.lit(" / "), F.col("item_id"), F.lit(": "),
         fixed_text(F.col("avg_sales"), 2), F.lit("/day ("), status, F.lit(")"),
@@ -78,17 +77,15 @@ def slow_answer(slow: DataFrame, per_store: int = 5, total: int = 15) -> DataFra
     ).otherwise("No underperforming products.").alias("answer"))
 
 
-def store_answer(stores: DataFrame, categories: DataFrame, limit: int = 50) -> DataFrame:
-    """Stores by total sales, the first `limit` of them, then the category breakdown."""
-    ranked = stores.orderBy(F.desc("total_sales"), "store_id").limit(limit)
+def store_answer(stores: DataFrame, categories: DataFrame) -> DataFrame:
+    """All stores by total sales, then the category breakdown."""
     line = F.concat_ws(
         " | ", "store_id", F.col("total_sales").cast("string"), fixed_text(F.col("avg_daily"), 2),
         F.col("best_day").cast("string"),
     )
-    body = _lines(ranked, line, [(-F.col("total_sales")).alias("_a"), F.col("store_id")])
-    kinds = categories.orderBy(F.desc("total_sales"), "cat_id").limit(limit)
+    body = _lines(stores, line, [(-F.col("total_sales")).alias("_a"), F.col("store_id")])
     kind = F.concat(F.col("cat_id"), F.lit(": "), F.col("total_sales").cast("string"))
-    second = _lines(kinds, kind, [(-F.col("total_sales")).alias("_a"), F.col("cat_id")]).scalar()
+    second = _lines(categories, kind, [(-F.col("total_sales")).alias("_a"), F.col("cat_id")]).scalar()
     return body.select(F.concat(
         F.lit("store | total | average | best day\n"), F.col("_text"), F.lit("\n"), second
     ).alias("answer"))
@@ -167,7 +164,7 @@ def answer_questions(
     ), "\n")).otherwise("Nothing relevant was found.")
     own = (
         F.when(F.col("intent") == "explanation", F.array_join(drivers, "\n"))
-        .when(F.col("intent") == "kpi", F.array_join(measures, "\n"))
+        .when((F.col("intent") == "kpi") & (F.size(measures) > 0), F.array_join(measures, "\n"))
         .when(
             (F.col("intent") == "inventory_knowledge") & (F.size("_known") > 0),
             F.get(F.col("_known"), F.lit(0))["content"],

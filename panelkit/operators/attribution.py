@@ -242,9 +242,9 @@ def interpretation(summary: DataFrame, n: int = 3) -> DataFrame:
         )), ", ")
 
     return summary.withColumn("interpretation", F.concat(
-        F.lit("The model predicts "), F.bround("prediction", 2).cast("decimal(28,2)").cast("string"),
-        F.lit(" units. Main drivers: "), listing("top_positive", "+"),
-        F.lit(". Dampening factors: "), listing("top_negative", ""), F.lit("."),
+        F.bround("prediction", 2).cast("decimal(28,2)").cast("string"),
+        F.lit(" units are predicted. Raised by: "), listing("top_positive", "+"),
+        F.lit("; lowered by: "), listing("top_negative", ""), F.lit("."),
     ))
 
 

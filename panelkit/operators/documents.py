@@ -29,12 +29,11 @@ def _document(df: DataFrame, kind: str, id_parts: list[str], content: Column, me
 def catalog_documents(profile: DataFrame) -> DataFrame:
     c = F.col
     return _document(profile, "catalog", ["store_id", "item_id"], _say(
-        "Product ", c("item_id"), " in store ", c("store_id"), " (", c("state_id"), "). Category: ",
-        c("cat_id"), ", Department: ", c("dept_id"), ". Average daily sales: ",
-        fixed_text(c("avg_sales"), 2), ", Total sales: ", _whole("total_sales"),
-        ". Max daily sales: ", _whole("max_sales"), ". Average price: $",
-        fixed_text(c("avg_price"), 2), ". Zero sales percentage: ", fixed_text(c("zero_pct"), 1),
-        "%. Observed for ", _whole("days_observed"), " days.",
+        "Item ", c("item_id"), " of ", c("dept_id"), " / ", c("cat_id"), ", sold at ", c("store_id"),
+        ", ", c("state_id"), ": ", fixed_text(c("avg_sales"), 2), " units a day on average, ",
+        _whole("max_sales"), " on its best day and ", _whole("total_sales"), " altogether over ",
+        _whole("days_observed"), " days, of which ", fixed_text(c("zero_pct"), 1),
+        "% were without a sale. It costs $", fixed_text(c("avg_price"), 2), " on average.",
     ), ["store_id", "item_id", "cat_id", "avg_sales"])
 
 
@@ -42,40 +41,40 @@ def forecast_documents(forecasts: DataFrame) -> DataFrame:
     """`forecasts`: series, category, state, model, its rmse, and `predicted_sales`."""
     c = F.col
     return _document(forecasts, "forecast", ["store_id", "item_id"], _say(
-        "Forecast for ", c("item_id"), " at ", c("store_id"), ": Predicted daily sales: ",
-        fixed_text(c("predicted_sales"), 2), ". Model: ", c("model"), " (RMSE=",
-        fixed_text(c("rmse"), 4), "). Category: ", c("cat_id"), ", State: ", c("state_id"), ".",
+        c("model"), " expects ", c("item_id"), " (", c("cat_id"), ") to sell ",
+        fixed_text(c("predicted_sales"), 2), " units a day at ", c("store_id"), ", ", c("state_id"),
+        ". This forecast has a validation RMSE of ", fixed_text(c("rmse"), 4), ".",
     ), ["store_id", "item_id", "predicted_sales", "model"])
 
 
 def store_documents(pattern: DataFrame) -> DataFrame:
     return _document(pattern, "store_pattern", ["store_id"], _say(
-        "Store ", F.col("store_id"), ": Total sales ", _whole("total_sales"), ", Average daily ",
-        fixed_text(F.col("avg_daily"), 2), ", Best single day ", _whole("best_day"), ".",
+        F.col("store_id"), " is a store that sold ", _whole("total_sales"), " units: ",
+        fixed_text(F.col("avg_daily"), 2), " per product and day, ", _whole("best_day"),
+        " of one product on the best day.",
     ), ["store_id"])
 
 
 def category_documents(pattern: DataFrame) -> DataFrame:
     return _document(pattern, "category_pattern", ["cat_id"], _say(
-        "Category ", F.col("cat_id"), ": ", _whole("n_products"), " products, Total sales ",
-        _whole("total_sales"), ", Average daily ", fixed_text(F.col("avg_daily"), 2),
-        ", Average price $", fixed_text(F.col("avg_price"), 2), ".",
+        F.col("cat_id"), " is a category of ", _whole("n_products"), " items that sold ",
+        _whole("total_sales"), " units, ", fixed_text(F.col("avg_daily"), 2),
+        " per product and day, at a mean price of $", fixed_text(F.col("avg_price"), 2), ".",
     ), ["cat_id"], prefix="cat_pattern")
 
 
 def underperformer_documents(slow: DataFrame) -> DataFrame:
     return _document(slow, "underperformer", ["store_id", "item_id"], _say(
-        "Underperforming product: ", F.col("item_id"), " at ", F.col("store_id"),
-        ". Average daily sales: ", fixed_text(F.col("avg_sales"), 2),
-        " (bottom 10%). A candidate for promotion, repricing, or delisting.",
+        F.col("item_id"), " underperforms at ", F.col("store_id"), ": with ",
+        fixed_text(F.col("avg_sales"), 2),
+        " units a day it is in the slowest tenth, where a lower price, a promotion or its place is in question.",
     ), ["store_id", "item_id", "avg_sales"])
 
 
 def top_performer_documents(fast: DataFrame) -> DataFrame:
     return _document(fast, "top_performer", ["store_id", "item_id"], _say(
-        "Top performing product: ", F.col("item_id"), " at ", F.col("store_id"),
-        ". Average daily sales: ", fixed_text(F.col("avg_sales"), 2),
-        " (top 10%). A high-velocity item to keep in stock.",
+        F.col("item_id"), " is a top product at ", F.col("store_id"), ": with ",
+        fixed_text(F.col("avg_sales"), 2), " units a day it is in the fastest tenth and must not run out.",
     ), ["store_id", "item_id", "avg_sales"])
 
 

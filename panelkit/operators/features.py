@@ -316,13 +316,14 @@ def add_group_means(
 
     `groups` maps a series attribute to the name of its mean. The means come from the series table
     and travel to the rows by the series key: the rows are never shuffled by the few, uneven
-    groups themselves.
+    groups themselves. The series table is written first: every mean is joined to it.
     """
+    series = stage(series, "series_totals")
     return df.join(group_means(series, groups).select(*key, *groups.values()), list(key))
 
 
 def group_means(series: DataFrame, groups: Mapping[str, str]) -> DataFrame:
-    """The series table with a mean per group."""
+    """The series table with a mean per group. It is read twice per group: pass a written table."""
     for by, name in groups.items():
         means = series.groupBy(by).agg(
             (F.sum("_sum").cast("double") / F.sum("_n")).alias(name)

@@ -22,6 +22,7 @@ from panelkit import settings
 from panelkit.operators import features as X
 from panelkit.operators import metrics as M
 from panelkit.operators.split import drop_warm_up, fill_missing
+from panelkit.storage import stage
 
 LABEL = settings.VALUE
 MODELS = ("tweedie", "boosted", "forest")
@@ -45,14 +46,17 @@ def linear_features(leaky: bool = False) -> list[str]:
 
 def with_train_averages(table: DataFrame, key: Sequence[str] = settings.SERIES_KEY) -> DataFrame:
     """Replace the group averages by those of the training rows, so validation rows stay unseen."""
-    series = X.series_table(table.filter(F.col("split") == "train"), key)
+    series = stage(X.series_table(table.filter(F.col("split") == "train"), key), "train_totals")
     means = X.group_means(series, X.AVERAGES).select(*key, *X.AVERAGES.values())
     return table.drop(*X.AVERAGES.values()).join(means, list(key), "left")
 
 
 def training_table(features: DataFrame, leaky: bool = False) -> DataFrame:
-    """Rows to learn from and to validate on: warm-up dropped, gaps filled with 0."""
-    complete = drop_warm_up(features)
+    """Rows to learn from and to validate on: warm-up dropped, gaps filled with 0.
+
+    The features are written once: the averages of the training rows are joined to them.
+    """
+    complete = stage(drop_warm_up(features), "complete_features")
     fair = complete if leaky else with_train_averages(complete)
     filled = fill_missing(fair, [c for c in settings.FEATURE_COLUMNS if c in fair.columns])
     return filled.withColumn(LABEL, F.col(LABEL).cast("double"))

@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit import settings
-from panelkit.functions.sizing import broadcast_if_small
 from panelkit.sources.schemas import WIDE_ID_COLUMNS
 
 
@@ -84,7 +83,7 @@ def densify(
 
 def keep_items(df: DataFrame, items: DataFrame, item: str = "item_id") -> DataFrame:
     """Rows whose item is in the list."""
-    return df.join(broadcast_if_small(items.select(item)), item, "left_semi")
+    return df.join(items.select(item), item, "left_semi")
 
 
 def keep_last_days(df: DataFrame, days: int, order: str = settings.ORDER) -> DataFrame:
@@ -101,8 +100,8 @@ def fill_events(
 
 
 def join_calendar(df: DataFrame, calendar: DataFrame, order: str = settings.ORDER) -> DataFrame:
-    """Attach the day's calendar row. One row per day: broadcast once counted."""
-    return df.join(broadcast_if_small(calendar), order, "left")
+    """Attach the day's calendar row. The engine broadcasts it where its bytes are few."""
+    return df.join(calendar, order, "left")
 
 
 def join_prices(

@@ -21,7 +21,7 @@ def build_panel(
     calendar: DataFrame,
     prices: DataFrame,
     sample_size: int | None = None,
-    history_days: int | None = settings.HISTORY_DAYS,
+    history_days: int | None = None,
 ) -> DataFrame:
     """Wide sales, calendar and prices to the dense panel.
 
@@ -76,7 +76,7 @@ def build_features(
 def trade_features(
     spark: SparkSession,
     folder: str,
-    history_days: int | None = settings.HISTORY_DAYS,
+    history_days: int | None = None,
     spec: X.Series = X.Series(),
     snap_columns: Mapping[str, str] = trade.SNAP_COLUMNS,
 ) -> DataFrame:

@@ -49,18 +49,17 @@ def write_panel(
     path: str,
     partition_by: str = "store_id",
     within: Sequence[str] = ("item_id", settings.ORDER),
-    files_per_partition: int = 8,
+    rows_per_file: int = 20_000_000,
 ) -> None:
     """One directory per store.
 
-    Rows are spread over a bounded number of writers per store, by item, so that the largest store
-    is written by several tasks and small ones do not shatter into a file per task.
+    Rows are brought together by store in partitions of even size: small stores share a writer, a
+    large one is split over as many as its bytes call for.
     """
-    writer = F.pmod(F.xxhash64(within[0]), F.lit(files_per_partition))
     (
-        df.repartition(partition_by, writer)
+        df.hint("rebalance", partition_by)
         .sortWithinPartitions(partition_by, *within)
-        .write.partitionBy(partition_by)
+        .write.option("maxRecordsPerFile", rows_per_file).partitionBy(partition_by)
         .parquet(path)
     )
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from panelkit import settings
 from panelkit.functions.columns import choose_by, saturday_first
-from panelkit.functions.sizing import BROADCAST_ROWS
 from panelkit.operators import panel as P
 from panelkit.sources import schemas
 from panelkit.storage import stage
@@ -150,11 +149,6 @@ def calendar(spark: SparkSession, first_day: int, last_day: int) -> DataFrame:
     )
 
 
-def sized_calendar(days: DataFrame, first_day: int, last_day: int) -> DataFrame:
-    """The calendar with a broadcast hint if its number of days is small."""
-    return F.broadcast(days) if last_day - first_day < BROADCAST_ROWS else days
-
-
 def snap_by_state(state: Column) -> Column:
     return choose_by(state, SNAP_COLUMNS)
 
@@ -206,7 +200,7 @@ def dated_panel(cells: DataFrame, days: DataFrame, first_day: int, last_day: int
     the fill; the dense rows themselves never move.
     """
     dense = P.densify(cells.drop("cents"), first_day, last_day)
-    dated = dense.join(sized_calendar(days, first_day, last_day), settings.ORDER, "left")
+    dated = dense.join(days, settings.ORDER, "left")
     return P.fill_prices(P.join_prices(dated, cell_prices(cells)))
 
 

@@ -1,12 +1,15 @@
 """The shared working folder, and tables written there to cut lineage.
 
 On a cluster the folder is the one named by `spark.checkpoint.dir`, which every executor can
-reach, so a lost executor never takes a stage boundary with it. Only where that setting is absent
-(local runs, tests) is a temporary folder made.
+reach, so a lost executor never takes a stage boundary with it. Where that setting is absent a
+temporary folder is made for a local master (tests), and removed when Python ends; any other master
+needs the setting.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,7 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _local_folder:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
         _local_folder[app] = tempfile.mkdtemp(prefix="panelkit-")
+        atexit.register(shutil.rmtree, _local_folder[app], ignore_errors=True)
     return _local_folder[app]
 
 

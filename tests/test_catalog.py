@@ -59,4 +59,4 @@ def test_answers(spark, folder):
         "restock", "underperforming", "explanation", "kpi", "store_comparison",
         "inventory_knowledge", "top", "general",
     }
-    assert rows["answer"].notna().all() and (rows["retrieval_count"] <= 8).all()
+    assert rows["answer"].notna().all() and (rows["answer"].str.len() > 0).all() and (rows["retrieval_count"] <= 8).all()

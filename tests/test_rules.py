@@ -28,7 +28,7 @@ def test_recommendation(spark, stock, order, status, urgency):
     row = I.recommend(df).first()
     assert row["safety_stock"] == 21.76 and row["reorder_point"] == 84.26
     assert (row["recommended_order_qty"], row["stock_status"], row["urgency"]) == (order, status, urgency)
-    assert "250 units over 28 days (~8.9/day)" in row["reasoning"]
+    assert row["reasoning"].startswith("8.9 units a day, 250 in 28 days, are forecast.")
 
 
 def test_lower_service_level(spark):
@@ -39,10 +39,13 @@ def test_lower_service_level(spark):
 def test_days_of_supply(spark):
     df = spark.createDataFrame(
         [(220.0, 10.0), (140.0, 10.0), (70.0, 10.0), (30.0, 10.0), (29.0, 10.0), (0.0, 10.0), (5.0, 0.0), (None, 1.0)],
-        "current_stock double, daily_demand double",
+        "current_stock double, daily_rate double",
     )
     tiers = [r["supply_tier"] for r in I.with_days_of_supply(df).collect()]
     assert tiers == ["adequate", "low", "medium", "high", "critical", "urgent", "adequate", "unknown"]
+    slow = spark.createDataFrame([(0.1, 1.0, 0.01)], "forecasted_demand double, demand_std double, current_stock double")
+    row = I.with_days_of_supply(I.recommend(slow)).first()
+    assert row["supply_tier"] == "critical" and math.isclose(row["days_of_supply"], 2.8)
 
 
 def test_rounding_and_labels(spark):
@@ -138,7 +141,7 @@ def test_stratified_sample(spark):
     )
     counts = {r["cat_id"]: r["n_sampled"] for r in P.sampled_per_category(P.sample_items(df)).collect()}
     assert counts == {"c0": 3, "c1": 9, "c2": 90}
-    assert P.sample_items(df).collect().sort() == P.sample_items(df.repartition(7)).collect().sort()
+    assert sorted(P.sample_items(df).collect()) == sorted(P.sample_items(df.repartition(7)).collect())
 
 
 def test_split_and_warm_up(spark):
