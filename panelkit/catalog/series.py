@@ -135,9 +135,10 @@ def feature_table(spark, folder):
 
 
 def feature_list(spark, folder):
-    """Names of the model features, by exclusion."""
-    names = X.feature_names(trade_features(spark, folder).drop("split"))
-    return spark.createDataFrame([(n,) for n in names], "feature string")
+    """The model features, by exclusion of all other columns, and how many rows have each."""
+    table = trade_features(spark, folder).drop("split")
+    names = X.feature_names(table)
+    return table.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "feature", "n_values")
 
 
 def warm_up_dropped(spark, folder):
@@ -409,8 +410,11 @@ FROM panel a"""),
     "feature_table": sql.panel(f"""
 SELECT store_id, item_id, split, count(*) AS n_rows, {_SUMS} FROM everything GROUP BY ALL""",
         ctes=_FEATURES),
-    "feature_list": "SELECT unnest(["
-    + ", ".join(f"'{c}'" for c in settings.FEATURE_COLUMNS) + "]) AS feature",
+    "feature_list": sql.panel(
+        "SELECT unnest(names) AS feature, unnest(counts) AS n_values FROM (SELECT ["
+        + ", ".join(f"'{c}'" for c in settings.FEATURE_COLUMNS) + "] AS names, ["
+        + ", ".join(f"count({c})" for c in settings.FEATURE_COLUMNS) + "] AS counts FROM everything)",
+        ctes=_FEATURES),
     "warm_up_dropped": sql.panel(f"""
 SELECT store_id, item_id, split, count(*) AS n_rows, min(day_num) AS first_day,
        CAST(sum(coalesce(lag56, 0)) AS BIGINT) AS sum_lag_56
