@@ -234,7 +234,7 @@ def fitted_curve(strengths: np.ndarray, toxic: np.ndarray) -> tuple[float, float
         slope = x.T @ (share * (y - p)) - 0.01 * beta
         curve = (x * (share * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(2)
         beta = beta + np.linalg.solve(curve, slope)
-    return float(beta[0]), float(beta[1])
+    return min(float(beta[0]), -0.5), float(beta[1])
 
 
 def training_rows(labels: DataFrame) -> DataFrame:
@@ -251,7 +251,8 @@ def training_rows(labels: DataFrame) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     """The lexicon of labelled documents. Only counts, entries and the sample's strengths are collected.
 
-    Without labelled rows of both kinds the lexicon is empty and every score is below one half.
+    Without labelled rows of both kinds, or without a word that tells them apart, the lexicon is empty
+    and every score is below one half. A text without a match always scores below one half.
     """
     rows = F.broadcast(training_rows(labels))
     sample = docs.select("doc_id", "text").join(rows, "doc_id").cache()
@@ -271,6 +272,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
         least = max(LEAST_DOCUMENTS, sizes[1] // 200)
         weights = needed([row["entries"] for row in explained], weights, least)
         lexicon = Lexicon(weights)
+        if not weights:
+            return lexicon
         pairs = np.array(
             [(s, t) for s, t in _strengths(sample, lexicon).toLocalIterator()], dtype=float
         ).reshape(-1, 2)
