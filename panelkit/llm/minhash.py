@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import slices, table
@@ -25,6 +25,9 @@ from panelkit.storage import stage
 BANDS, ROWS = 32, 6
 #: Signatures are compared in batches of so many values.
 BATCH = 32
+#: Values that the last comparison goes on to, so that few pairs below the threshold are left to
+#: verify; only documents that share a band have so many.
+LONG = 768
 #: A pair is pruned once its chance of reaching the threshold is below this.
 MISS = 1e-6
 #: Bytes of text that a task works on at a time.
@@ -33,24 +36,34 @@ SLICE = 1 << 20
 CHUNK = 256
 
 _SIZE = BANDS * ROWS
-_FACTORS = mix(np.arange(1, _SIZE + 1, dtype=np.uint64)) | np.uint64(1)
+_FACTORS = mix(np.arange(1, LONG + 1, dtype=np.uint64)) | np.uint64(1)
 _BAND_MARKS = mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64))
 _ROW_MARKS = mix(np.arange(2000, 2000 + ROWS, dtype=np.uint64)) | np.uint64(1)
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (sets x BANDS) and one byte of each minimum (sets x BANDS * ROWS); no set is empty."""
+def minima(sets: list[np.ndarray], size: int) -> np.ndarray:
+    """The least value of each set under `size` hash functions; no set is empty."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
-    least = np.empty((len(sets), _SIZE), dtype=np.uint64)
-    for k in range(_SIZE):
+    least = np.empty((len(sets), size), dtype=np.uint64)
+    for k in range(size):
         least[:, k] = np.minimum.reduceat(flat * _FACTORS[k], starts)
-    rows = (mix(least).reshape(len(sets), BANDS, ROWS) * _ROW_MARKS).sum(axis=2, dtype=np.uint64)
-    return mix(rows ^ _BAND_MARKS), (mix(least) & np.uint64(255)).astype(np.uint8)
+    return mix(least)
+
+
+def marks_of(least: np.ndarray) -> np.ndarray:
+    """One byte of each minimum: what signatures are compared by."""
+    return (least & np.uint64(255)).astype(np.uint8)
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A key for each band: sets x BANDS."""
+    rows = least[:, :_SIZE].reshape(len(least), BANDS, ROWS) * _ROW_MARKS
+    return mix(rows.sum(axis=2, dtype=np.uint64) ^ _BAND_MARKS)
 
 
 @lru_cache
-def least_agreements(threshold: float, miss: float = MISS) -> tuple[tuple[int, int], ...]:
+def least_agreements(threshold: float, size: int, miss: float = MISS) -> tuple[tuple[int, int], ...]:
     """(values compared, agreements needed to go on) after each batch.
 
     The prior of the similarity is uniform; a byte agrees with probability s + (1 - s) / 256.
@@ -58,7 +71,7 @@ def least_agreements(threshold: float, miss: float = MISS) -> tuple[tuple[int, i
     s = (np.arange(4000) + 0.5) / 4000
     agree = s + (1 - s) / 256
     needed = []
-    for n in range(BATCH, _SIZE + 1, BATCH):
+    for n in range(BATCH, size + 1, BATCH):
         for m in range(n + 1):
             log = m * np.log(agree) + (n - m) * np.log1p(-agree)
             weight = np.exp(log - log.max())
@@ -71,7 +84,7 @@ def least_agreements(threshold: float, miss: float = MISS) -> tuple[tuple[int, i
 def surviving(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     """Which rows of two signature matrices are not pruned; each batch looks at survivors only."""
     alive, agreed = np.arange(len(a)), np.zeros(len(a), dtype=np.int32)
-    for n, needed in least_agreements(threshold):
+    for n, needed in least_agreements(threshold, a.shape[1]):
         part = slice(n - BATCH, n)
         agreed = agreed + (a[alive, part] == b[alive, part]).sum(axis=1, dtype=np.int32)
         on = agreed >= needed
@@ -94,7 +107,8 @@ def sketches(docs: DataFrame) -> DataFrame:
             bands: list = [None] * len(sets)
             marks: list = [None] * len(sets)
             if len(full):
-                keys, some = signatures([sets[i] for i in full])
+                least = minima([sets[i] for i in full], _SIZE)
+                keys, some = band_keys(least), marks_of(least)
                 for row, i in enumerate(full.tolist()):
                     sums[0, i] = sets[i].sum(dtype=np.uint64)
                     sums[1, i] = mix(sets[i] + np.uint64(1)).sum(dtype=np.uint64)
@@ -112,26 +126,20 @@ def sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def _unpruned(pairs: DataFrame, marks: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose signatures do not rule them out; marks: (id, signature)."""
+def _long_marks(texts: DataFrame) -> DataFrame:
+    """(id, n_shingles, signature) of LONG values; texts: (id, text), none without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            first, second = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, _SIZE)
-                for c in ("left", "right")
+        for batch in slices(batches, "text", SLICE):
+            sets = shingle_sets(batch.column("text").to_pylist())
+            found = [row.tobytes() for row in marks_of(minima(sets, LONG))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array(found, pa.binary())],
+                ["id", "n_shingles", "signature"],
             )
-            on = pa.array(surviving(first, second, threshold))
-            yield batch.select(["a", "b"]).take(on)
 
-    return (
-        pairs.join(marks.select(F.col("id").alias("a"), F.col("signature").alias("left")), "a")
-        .join(marks.select(F.col("id").alias("b"), F.col("signature").alias("right")), "b")
-        .select("a", "b", "left", "right")
-        .mapInArrow(run, "a long, b long")
-    )
+    return texts.mapInArrow(run, "id long, n_shingles long, signature binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -167,29 +175,6 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _star_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each member of a band (key, id) with three of its members.
-
-    One is the member that shares bands with most others (in a group of copies this tends to be what
-    they were copied from), one is drawn anew for each band, one is the same for all bands. The
-    pairs grow with the members of the bands, not with their squares.
-    """
-    sizes = shared.groupBy("key").agg(F.count("*").alias("n"))
-    fame = shared.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("fame"))
-    known = shared.join(fame, "id")
-    centres = known.groupBy("key").agg(
-        F.max(F.struct("fame", "id")).alias("c0"),
-        F.max(F.struct(F.xxhash64("id", "key").alias("h"), "id")).alias("c1"),
-        F.max(F.struct(F.xxhash64("id").alias("h"), "id")).alias("c2"),
-    ).select("key", F.array_distinct(F.array("c0.id", "c1.id", "c2.id")).alias("centres"))
-    return (
-        shared.join(centres, "key").select("id", F.explode("centres").alias("centre"))
-        .filter("id <> centre")
-        .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-        .distinct()
-    )
-
-
 def _pairs_in_runs(run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows with equal neighbouring values of `run`, by their distance."""
     ends = np.searchsorted(run, run, side="right")
@@ -201,64 +186,100 @@ def _pairs_in_runs(run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield first, first + distance
 
 
-def _open_pairs(shared: DataFrame, labels: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs in a band that are in different components and survive their signatures.
+def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first band in which two signatures agree in every byte."""
+    same = a[:, :_SIZE] == b[:, :_SIZE]
+    return same.reshape(len(a), BANDS, ROWS).all(axis=2).argmax(axis=1)
+
+
+def _best(a: np.ndarray, b: np.ndarray, agreed: np.ndarray) -> np.ndarray:
+    """Which pairs are the best one of either of their members."""
+    rows, pairs = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort([-agreed[pairs], rows])
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = np.diff(rows[order]) != 0
+    return np.unique(pairs[order[first]])
+
+
+def _candidates(members: DataFrame, marks: DataFrame, percent: int, best: bool) -> DataFrame:
+    """(a, b): pairs of band members in different components that survive their signatures.
 
-    Bands whose members are all in one component are done. Members of the others meet in tasks of
-    one band each, or of two chunks of a large band, and only what survives there leaves the task.
+    members: (key, band, id, component, chunks). Members of a band meet in one task, or in tasks of
+    two chunks each if there are many, and a pair is only looked at further in the first band that the
+    two share. Only what survives there leaves the task: with `best`, the pair of each member that
+    agrees most, so that the pairs grow with the members and not with their squares; else every pair.
     """
-    named = shared.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    named = stage(named, "labelled_bands")
-    unfinished = named.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
-    ).filter("least < most").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    members = (
-        named.join(unfinished, "key").join(marks, "id")
-        .withColumn("own", own)
+    dealt = (
+        members.join(marks, "id")
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                "own", "id", "component", "n_shingles", "signature")
+                "own", "band", "id", "component", "n_shingles", "signature")
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     )
     threshold = percent / 100
 
     def survivors(rows: pa.RecordBatch) -> pa.RecordBatch:
-        key, i, j, own, ids, component, n = (rows.column(k).to_numpy() for k in range(7))
-        marks = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint8).reshape(-1, _SIZE)
+        key, i, j, own, band, ids, component, n = (rows.column(k).to_numpy() for k in range(8))
+        marks = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(len(key), -1)
         fresh = np.ones(len(key), dtype=bool)
         fresh[1:] = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
-        pairs = []
+        found = [np.zeros((2, 0), dtype=np.int64)]
         for a, b in _pairs_in_runs(np.cumsum(fresh)):
             least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
             on = (component[a] != component[b]) & (100 * least >= percent * most)
             on &= (i[a] == j[a]) | (own[a] != own[b])
             a, b = a[on], b[on]
+            if len(a):
+                on = _first_shared(marks[a], marks[b]) == band[a]
+                a, b = a[on], b[on]
             on = surviving(marks[a], marks[b], threshold)
-            pairs.append(np.stack([ids[a[on]], ids[b[on]]]))
-        both = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both.min(0)), pa.array(both.max(0))], ["a", "b"])
+            a, b = a[on], b[on]
+            found.append(np.stack([a, b]))
+        a, b = np.concatenate(found, axis=1)
+        if best and len(a):
+            on = _best(a, b, (marks[a] == marks[b]).sum(axis=1))
+            a, b = a[on], b[on]
+        a, b = ids[a], ids[b]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held = None
         for batch in batches:
-            held.append(batch)
-            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0:1]
-            if not rows:
-                held = []
+            if not batch.num_rows:
                 continue
-            last = [rows[0].column(k)[rows[0].num_rows - 1].as_py() for k in range(3)]
+            whole = pa.Table.from_batches([batch] if held is None else [held, batch])
+            held = whole.combine_chunks().to_batches()[0]
             same = np.logical_and.reduce([
-                rows[0].column(k).to_numpy() == x for k, x in enumerate(last)
+                held.column(k).to_numpy() == held.column(k)[held.num_rows - 1].as_py()
+                for k in range(3)
             ])
             cut = int(np.argmax(same))
-            held = [rows[0].slice(cut)]
             if cut:
-                yield survivors(rows[0].slice(0, cut))
-        if held:
-            yield survivors(held[0])
+                yield survivors(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None:
+            yield survivors(held)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
 
-    return members.mapInArrow(run, "a long, b long").distinct()
+def _chunks(n: Column) -> Column:
+    return F.ceil(n / CHUNK).cast("int").alias("chunks")
+
+
+def _unfinished(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the bands that hold more than one component, with their components."""
+    named = shared.drop("chunks").join(labels, "id", "left").withColumn(
+        "component", F.coalesce("component", "id")
+    )
+    named = stage(named, "labelled_bands")
+    bands = named.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
+    ).filter("least < most").select("key", _chunks(F.col("n")))
+    return named.join(bands, "key")
 
 
 def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -268,18 +289,16 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     lower-cased). component_id is the smallest doc_id reachable by links, kept whether that is the
     document itself.
 
-    Rows with equal sets form a class first and go on as one; only classes are compared. Members of
-    a band are first compared with three of them, which ties a large group together in a number of
-    pairs that grows with its size only. Then all members of a band whose components still differ
-    are compared, in tasks of bounded size, so no link between components is left out. All
-    candidates come from the bands, all pass the Bayesian comparison, and every link is verified on
-    full sets.
+    Rows with equal sets form a class first and go on as one; only classes are compared. In each
+    band every member is first tied to the member it agrees with most, which joins most of a large
+    group in a number of pairs that grows with its size only. Then all members of a band whose
+    components still differ are compared, so no link between components is left out. All candidates
+    come from the bands, all pass the Bayesian comparison, and every link is verified on full sets.
 
     Texts that are null or without words have no shingles and link with nothing. Rows that share a
     doc_id count as one document. Rows with a null doc_id link with nothing, have a null
     component_id and are kept. An empty table gives no rows; other columns are not read.
     """
-    threshold = percent / 100
     sketched = stage(sketches(docs), "sketches")
     linkable = sketched.filter("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "lo", "hi"]
@@ -289,9 +308,10 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
         .dropDuplicates(["id"]).select("id", "n_shingles", "bands", "signature")
     )
     chosen = stage(chosen, "representatives")
-    keyed = chosen.select("id", F.explode("bands").alias("key"))
-    several = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    shared = stage(keyed.join(several, "key"), "shared_bands")
+    keyed = chosen.select("id", F.posexplode("bands").alias("band", "key"))
+    several = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = keyed.join(several.select("key", _chunks(F.col("n"))), "key")
+    shared = stage(shared, "shared_bands")
     near = shared.select("id").distinct()
     marks = stage(
         chosen.join(near, "id", "left_semi").select("id", "n_shingles", "signature"),
@@ -301,10 +321,14 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
         docs.select(F.col("doc_id").cast("long").alias("id"), "text")
         .join(near, "id", "left_semi").dropDuplicates(["id"]), "candidate_texts",
     )
-    likely = stage(_unpruned(_star_pairs(shared), marks, threshold), "star_pairs")
-    links = stage(_verified(likely, texts, percent), "star_links")
+    alone = shared.withColumn("component", F.col("id"))
+    likely = stage(_candidates(alone, marks, percent, best=True), "best_pairs")
+    links = stage(_verified(likely, texts, percent), "best_links")
     found = stage(components(links), "components").withColumnRenamed("node", "id")
-    others = stage(_open_pairs(shared, found, marks, percent), "open_pairs")
+    unfinished = stage(_unfinished(shared, found), "unfinished_bands")
+    ids = unfinished.select("id").distinct()
+    marks = stage(_long_marks(texts.join(ids, "id", "left_semi")), "long_signatures")
+    others = stage(_candidates(unfinished, marks, percent, best=False), "open_pairs")
     more = stage(_verified(others, texts, percent), "open_links")
     if not more.isEmpty():
         found = components(links.unionByName(more)).withColumnRenamed("node", "id")
