@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WORD, table, word_count
+from panelkit.llm.common import WORD, table
 
 #: Hash buckets of the two multinomials; a power of two.
 BUCKETS = 1 << 18
@@ -45,7 +45,8 @@ def repeated_lines(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words inside three-word windows that occur twice or more in the text.
 
-    Texts without a repeated window, the most, need one hash set; the others sort their windows.
+    Where the hashes of all windows differ, as in most texts, no window is repeated; the others are
+    sorted as they are written.
     """
 
     def positions(windows: Column) -> Column:
@@ -61,12 +62,13 @@ def repeated_words(words: Column) -> Column:
         )
         return F.size(F.array_distinct(F.flatten(covered)))
 
-    windows = F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)),
-    )
-    return let(windows, lambda x: F.when(
-        F.size(F.array_distinct(x)) < F.size(x), positions(x)
+    def windows(of: Callable[..., Column]) -> Column:
+        starts = F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0)))
+        return F.transform(starts, lambda w, i: of(w, F.get(words, i + 1), F.get(words, i + 2)))
+
+    return let(windows(F.xxhash64), lambda x: F.when(
+        F.size(F.array_distinct(x)) < F.size(x),
+        positions(windows(lambda *three: F.concat_ws(" ", *three))),
     ).otherwise(F.lit(0)))
 
 
@@ -139,12 +141,12 @@ def judged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     text = F.col("row.text")
     ratios = log_ratios(docs, trusted).scalar()
     counted = docs.select(F.struct(*old).alias("row")).select(
-        "row", word_count(text).alias("n_words"), words_of(text).alias("words"),
+        "row", words_of(text).alias("words"),
         F.coalesce(F.length(F.translate(text, BLANKS, "")), F.lit(0)).cast("long").alias("word_chars"),
         symbol_count(text).cast("long").alias("n_symbols"),
         repeated_lines(text).cast("long").alias("n_dup_lines"),
     ).select(
-        "row", *new[:4], repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
+        "row", F.size("words").cast("long").alias("n_words"), *new[1:4], repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
         hashed_ngrams(F.col("words")).alias("grams"),
     )
     # The optimizer puts the subquery's value into the sum, so the array is in no row.
