@@ -148,8 +148,8 @@ def judged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     ).select(
         "row", F.size("words").cast("long").alias("n_words"), *new[1:4], repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
         hashed_ngrams(F.col("words")).alias("grams"),
-    )
-    # The optimizer puts the subquery's value into the sum, so the array is in no row.
+    ).select("row", *new[:5], F.explode(F.array("grams")).alias("grams"))
+    # Above the unfolded column the optimizer puts the subquery's value into the sum: no row holds it.
     total = F.aggregate("grams", F.lit(0.0), lambda s, h: s + F.get("ratios", h))
     scored = counted.select("*", ratios.alias("ratios")).select(
         "row", *new[:5],
@@ -165,6 +165,17 @@ def judged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     )
 
 
+def kept_documents(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns.
+
+    The verdict is unfolded from an array before it is filtered by: a plain filter would be pushed
+    below the columns it rests on, and the words of a text be found again for each of them.
+    """
+    named = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+    verdicts = judged(named, trusted).select("_row", F.explode(F.array("kept")).alias("_stays"))
+    return verdicts.filter("_stays").select("_row.*")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = trusted_ids(table(spark, sf_dir, "labels"))
