@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the n-gram likelihood ratio."""
     trusted = quality_rules.trusted_ids(table(spark, sf_dir, "labels"))
-    return quality_rules.judged(docs, trusted).filter("kept").select(*docs.columns)
+    return quality_rules.kept_documents(docs, trusted)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
