@@ -127,19 +127,21 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _long_marks(texts: DataFrame) -> DataFrame:
-    """(id, n_shingles, signature) of LONG values; texts: (id, text), none without shingles."""
+    """(id, n_shingles, bands, signature) of LONG values; texts: (id, text), none without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             sets = shingle_sets(batch.column("text").to_pylist())
-            found = [row.tobytes() for row in marks_of(minima(sets, LONG))]
+            least = minima(sets, LONG)
+            found = [row.tobytes() for row in marks_of(least)]
+            keys = list(band_keys(least).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(found, pa.binary())],
-                ["id", "n_shingles", "signature"],
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(found, pa.binary())],
+                ["id", "n_shingles", "bands", "signature"],
             )
 
-    return texts.mapInArrow(run, "id long, n_shingles long, signature binary")
+    return texts.mapInArrow(run, "id long, n_shingles long, bands array<long>, signature binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -187,9 +189,10 @@ def _pairs_in_runs(run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The first band in which two signatures agree in every byte."""
-    same = a[:, :_SIZE] == b[:, :_SIZE]
-    return same.reshape(len(a), BANDS, ROWS).all(axis=2).argmax(axis=1)
+    """The first band whose key two rows of band keys share: by the keys that members meet by, as
+    their bytes may also agree in an earlier band in which the two never meet.
+    """
+    return (a == b).argmax(axis=1)
 
 
 def _best(a: np.ndarray, b: np.ndarray, agreed: np.ndarray) -> np.ndarray:
@@ -214,7 +217,7 @@ def _candidates(members: DataFrame, marks: DataFrame, percent: int, best: bool)
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                "own", "band", "id", "component", "n_shingles", "signature")
+                "own", "band", "id", "component", "n_shingles", "signature", "bands")
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     )
     threshold = percent / 100
@@ -222,6 +225,7 @@ def _candidates(members: DataFrame, marks: DataFrame, percent: int, best: bool)
     def survivors(rows: pa.RecordBatch) -> pa.RecordBatch:
         key, i, j, own, band, ids, component, n = (rows.column(k).to_numpy() for k in range(8))
         marks = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(len(key), -1)
+        bands = rows.column(9).flatten().to_numpy().reshape(-1, BANDS)
         fresh = np.ones(len(key), dtype=bool)
         fresh[1:] = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
         found = [np.zeros((2, 0), dtype=np.int64)]
@@ -231,7 +235,7 @@ def _candidates(members: DataFrame, marks: DataFrame, percent: int, best: bool)
             on &= (i[a] == j[a]) | (own[a] != own[b])
             a, b = a[on], b[on]
             if len(a):
-                on = _first_shared(marks[a], marks[b]) == band[a]
+                on = _first_shared(bands[a], bands[b]) == band[a]
                 a, b = a[on], b[on]
             on = surviving(marks[a], marks[b], threshold)
             a, b = a[on], b[on]
@@ -314,7 +318,7 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     shared = stage(shared, "shared_bands")
     near = shared.select("id").distinct()
     marks = stage(
-        chosen.join(near, "id", "left_semi").select("id", "n_shingles", "signature"),
+        chosen.join(near, "id", "left_semi").select("id", "n_shingles", "bands", "signature"),
         "signatures",
     )
     texts = stage(

@@ -231,6 +231,22 @@ def test_near_duplicates_equal_all_pairs(spark, percent, monkeypatch):
     assert got == brute_groups(rows, percent)
 
 
+def test_separate_pairs_are_all_linked(spark):
+    """Ten thousand pairs that nothing else ties together, against their shared shingles."""
+    rng, rows, wanted = random.Random(11), [], {}
+    for i in range(10_000):
+        first = [f"{rng.randrange(2**32):x}" for _ in range(104)]
+        cut = 6 + i % 6
+        second = first[:-cut] + [f"{rng.randrange(2**32):x}" for _ in range(cut)]
+        rows += [(2 * i, " ".join(first)), (2 * i + 1, " ".join(second))]
+        x, y = ({tuple(w[k:k + 5]) for k in range(100)} for w in (first, second))
+        wanted[2 * i] = 2 * i
+        wanted[2 * i + 1] = 2 * i if 100 * len(x & y) >= 80 * len(x | y) else 2 * i + 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.link_documents(docs, 80).collect()}
+    assert [i for i in wanted if got[i] != wanted[i]] == []
+
+
 def test_near_duplicates_of_odd_rows(spark, odd):
     got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in minhash.link_documents(odd, 85).collect()}
     assert got[1, 3] == (1, True) and got[2, 3] == (1, False)
