@@ -16,8 +16,8 @@ from panelkit.storage import new_path, stage
 
 # Small ensembles: the queries show the operators, not the last digit of accuracy.
 ROUNDS, PATIENCE, DEPTH = 10, 3, 5
-# The newest days whose rows the models are fitted on: a bound on labelled rows, nothing else. History
-# and deviations next to the forecasts are taken over all days.
+# The newest days whose rows the models are fitted on: a bound on labelled rows, nothing else. Features,
+# averages, and history and deviations next to the forecasts are taken over all days.
 FIT_DAYS = settings.HISTORY_DAYS
 
 _cache: dict = {}
@@ -32,9 +32,14 @@ def _once(spark, folder, name, make):
 
 
 def _table(spark, folder):
-    return _once(spark, folder, "table", lambda: stage(
-        L.training_table(trade_features(spark, folder, FIT_DAYS)), "learning_table"
-    ))
+    def make():
+        first, last = trade.shipping_days(spark, folder)
+        since = max(first, last - FIT_DAYS + 1)
+        return stage(
+            L.training_table(trade_features(spark, folder), first_day=since), "learning_table"
+        )
+
+    return _once(spark, folder, "table", make)
 
 
 def _rows(spark, folder, split):

@@ -44,20 +44,33 @@ def linear_features(leaky: bool = False) -> list[str]:
     return [c for c in tree_features(leaky) if not c.endswith("_enc") and c not in dependent]
 
 
-def with_train_averages(table: DataFrame, key: Sequence[str] = settings.SERIES_KEY) -> DataFrame:
-    """Replace the group averages by those of the training rows, so validation rows stay unseen."""
-    series = stage(X.series_table(table.filter(F.col("split") == "train"), key), "train_totals")
+def with_train_averages(
+    table: DataFrame, key: Sequence[str] = settings.SERIES_KEY, history: DataFrame | None = None
+) -> DataFrame:
+    """Replace the group averages by those of the training rows, so validation rows stay unseen.
+
+    `history` has the training rows, where `table` has only some of them.
+    """
+    seen = table if history is None else history
+    series = stage(X.series_table(seen.filter(F.col("split") == "train"), key), "train_totals")
     means = X.group_means(series, X.AVERAGES).select(*key, *X.AVERAGES.values())
     return table.drop(*X.AVERAGES.values()).join(means, list(key), "left")
 
 
-def training_table(features: DataFrame, leaky: bool = False) -> DataFrame:
+def training_table(
+    features: DataFrame, leaky: bool = False, first_day: int | None = None
+) -> DataFrame:
     """Rows to learn from and to validate on: warm-up dropped, gaps filled with 0.
 
-    The features are written once: the averages of the training rows are joined to them.
+    `first_day` bounds the rows only: features and averages are those of all days. The features of
+    the rows are written once: the averages of the training rows are joined to them.
     """
-    complete = stage(drop_warm_up(features), "complete_features")
-    fair = complete if leaky else with_train_averages(complete)
+    history = drop_warm_up(features)
+    if first_day is None:
+        history = complete = stage(history, "complete_features")
+    else:
+        complete = stage(history.filter(F.col(settings.ORDER) >= first_day), "complete_features")
+    fair = complete if leaky else with_train_averages(complete, history=history)
     filled = fill_missing(fair, [c for c in settings.FEATURE_COLUMNS if c in fair.columns])
     return filled.withColumn(LABEL, F.col(LABEL).cast("double"))
 

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit import settings
+from panelkit.catalog import models as Q
 from panelkit.operators import attribution as E
 from panelkit.operators import models as L
 from panelkit.operators.attribution import _shares
+from panelkit.plans.features import trade_features
 
 FEATURES = ["a", "b", "c", "d"]
 KEY = ("day_num",)
@@ -113,6 +115,25 @@ def test_save_and_load(rows, fitted, tmp_path):
     assert a == b
 
 
+def test_the_bound_on_rows_does_not_cut_the_features(spark, folder):
+    got = Q._table(spark, folder)
+    whole = trade_features(spark, folder)
+    last = whole.agg(F.max("day_num")).first()[0]
+    assert got.agg(F.min("day_num"), F.max("day_num")).first() == (last - Q.FIT_DAYS + 1, last)
+    day = F.col("day_num") == last - 40
+    reach = ("sales_expanding_mean", "zero_streak", "days_since_sale", "sell_price")
+    key = settings.SERIES_KEY
+    a, b = (
+        {(r[0], r[1]): tuple(r[2:]) for r in t.filter(day).fillna(0, reach).select(*key, *reach).collect()}
+        for t in (got, whole)
+    )
+    assert a == b and any(x[1] > Q.FIT_DAYS for x in a.values())
+    train = L.drop_warm_up(whole).filter("split = 'train'")
+    wanted = dict(train.groupBy("store_id").agg(F.avg("sales")).collect())
+    means = got.select("store_id", "store_avg_sales").distinct().collect()
+    assert all(r[1] == pytest.approx(wanted[r[0]]) for r in means) and len(means) == len(wanted)
+
+
 def test_leaky_features_are_off_by_default():
     assert not set(settings.LEAKY_FEATURES) & set(L.tree_features())
     assert set(settings.LEAKY_FEATURES) <= set(L.tree_features(leaky=True))
