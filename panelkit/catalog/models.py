@@ -14,7 +14,7 @@ from panelkit.plans.features import trade_features
 from panelkit.sources import files, trade
 from panelkit.storage import new_path, stage
 
-# Small ensembles: the queries show the operators, not the last digit of accuracy.
+# A small ensemble of boosted trees, which tree attributions are prepared from; the forest has its defaults.
 ROUNDS, PATIENCE, DEPTH = 10, 3, 5
 # The newest days whose rows the models are fitted on: a bound on labelled rows, nothing else. Features,
 # averages, and history and deviations next to the forecasts are taken over all days.
@@ -58,9 +58,7 @@ def _boosted(spark, folder):
 
 
 def _forest(spark, folder):
-    return _once(spark, folder, "forest", lambda: L.fit_forest(
-        _rows(spark, folder, "train"), trees=ROUNDS, depth=DEPTH
-    ))
+    return _once(spark, folder, "forest", lambda: L.fit_forest(_rows(spark, folder, "train")))
 
 
 def _all(spark, folder):

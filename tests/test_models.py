@@ -134,6 +134,13 @@ def test_the_bound_on_rows_does_not_cut_the_features(spark, folder):
     assert all(r[1] == pytest.approx(wanted[r[0]]) for r in means) and len(means) == len(wanted)
 
 
+def test_the_forest_query_fits_at_the_defaults(spark, folder, monkeypatch):
+    monkeypatch.setattr(Q, "_cache", {})
+    monkeypatch.setattr(Q, "_rows", lambda spark, folder, split: split)
+    monkeypatch.setattr(L, "fit_forest", lambda *rows, **changed: (rows, changed))
+    assert Q._forest(spark, folder) == (("train",), {})
+
+
 def test_leaky_features_are_off_by_default():
     assert not set(settings.LEAKY_FEATURES) & set(L.tree_features())
     assert set(settings.LEAKY_FEATURES) <= set(L.tree_features(leaky=True))
