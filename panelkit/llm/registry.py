@@ -5,7 +5,8 @@ from __future__ import annotations
 from importlib import import_module
 
 PARTS = ("bpe", "quality_rules", "warc", "toxicity", "mixing", "minhash",
-         "quality_model", "context_tree", "url_filter", "pivots")
+         "quality_model", "context_tree", "url_filter", "pivots", "resampling", "sharding",
+         "prefix_trie")
 
 
 def _merged(attribute: str) -> dict:
