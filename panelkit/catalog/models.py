@@ -14,8 +14,6 @@ from panelkit.plans.features import trade_features
 from panelkit.sources import files, trade
 from panelkit.storage import new_path, stage
 
-# A small ensemble of boosted trees, which tree attributions are prepared from; the forest has its defaults.
-ROUNDS, PATIENCE, DEPTH = 10, 3, 5
 # The newest days whose rows the models are fitted on: a bound on labelled rows, nothing else. Features,
 # averages, and history and deviations next to the forecasts are taken over all days.
 FIT_DAYS = settings.HISTORY_DAYS
@@ -53,7 +51,6 @@ def _tweedie(spark, folder):
 def _boosted(spark, folder):
     return _once(spark, folder, "boosted", lambda: L.fit_boosted(
         _rows(spark, folder, "train"), _rows(spark, folder, "val"),
-        rounds=ROUNDS, patience=PATIENCE, depth=DEPTH, step=0.3,
     ))
 
 

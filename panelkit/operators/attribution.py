@@ -1,17 +1,14 @@
 """Additive attribution: how much each feature moved a prediction away from the average one.
 
 Linear models are split exactly by column expressions, on the scale of the link. Trees are split
-by path-dependent Shapley values (Lundberg et al. 2018): every leaf's share depends only on which
-of the few features on its path a row agrees with, so the shares of all agreement patterns are
-worked out once per leaf, and a row only looks its pattern up. Contributions stay arrays inside
-the row; nothing is shuffled to rank them.
+by path-dependent Shapley values (`panelkit.operators.trees`), whole Arrow batches at a time.
+Contributions stay arrays inside the row; nothing is shuffled to rank them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
-from math import factorial
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -19,108 +16,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit import settings
-from panelkit.operators.models import Fitted
+from panelkit.operators import trees
+from panelkit.operators.models import Fitted, TreeModel
+from panelkit.operators.trees import TreeEnsemble
 from panelkit.storage import new_path
 
 KEY = (*settings.SERIES_KEY, settings.ORDER)
 
 
-@dataclass(frozen=True)
-class Leaf:
-    """A leaf: the features on its path, the interval each must lie in, and its shares.
-
-    `shares[p]` holds one number per feature for agreement pattern p, where bit j of p says whether
-    the row's feature j lies in its interval.
-    """
-
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    shares: np.ndarray
-
-
-def _shares(value: float, cover: Sequence[float]) -> np.ndarray:
-    """Shapley value of every path feature, for every pattern of agreement with the path.
-
-    `cover[j]` is the part of training rows that pass the splits on feature j.
-    """
-    d = len(cover)
-    # weight of a coalition by its size, among the d-1 other features
-    weight = [factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)]
-    out = np.zeros((2**d, d))
-    for p in range(2**d):
-        agrees = [(p >> j) & 1 for j in range(d)]
-        for i in range(d):
-            sizes = np.array([1.0])  # sums over coalitions of the others, by size
-            for j in range(d):
-                if j != i:
-                    sizes = np.convolve(sizes, [cover[j], agrees[j]])
-            out[p, i] = value * (agrees[i] - cover[i]) * float(np.dot(weight, sizes))
-    return out
-
-
-def _leaves(nodes: dict[int, dict], scale: float) -> tuple[list[Leaf], float]:
-    """The leaves of one tree, and the tree's average prediction."""
-    leaves, base = [], 0.0
-    stack = [(0, {})]
-    while stack:
-        node_id, path = stack.pop()
-        node = nodes[node_id]
-        if node["leftChild"] < 0:
-            value = node["prediction"] * scale
-            names = list(path)
-            cover = [path[f][2] for f in names]
-            base += value * float(np.prod(cover)) if cover else value
-            if names:
-                leaves.append(Leaf(
-                    np.array(names), np.array([path[f][0] for f in names]),
-                    np.array([path[f][1] for f in names]), _shares(value, cover),
-                ))
-            continue
-        feature, cut = node["feature"], node["threshold"]
-        low, high, cover = path.get(feature, (-np.inf, np.inf, 1.0))
-        for child, bounds in (
-            (node["leftChild"], (low, min(high, cut))), (node["rightChild"], (max(low, cut), high)),
-        ):
-            part = nodes[child]["count"] / node["count"]
-            stack.append((child, {**path, feature: (*bounds, cover * part)}))
-    return leaves, base
-
-
-def tree_leaves(fitted: Fitted) -> tuple[list[Leaf], float]:
-    """All leaves of a fitted tree ensemble, read from its saved form; it fits the driver already."""
-    spark = SparkSession.getActiveSession()
+def tree_ensemble(fitted: Fitted) -> TreeEnsemble:
+    """The nodes of a fitted model; a forest's are read from its saved form."""
+    if isinstance(fitted.model, TreeModel):
+        return fitted.model.trees
     model = fitted.model.stages[-1]
+    spark = SparkSession.getActiveSession()
     path = new_path(spark, "trees")
     model.write().save(path)
-    stored = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
-        F.col("nodeData.rawCount").alias("count"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-    ).collect()
-    trees: dict[int, dict[int, dict]] = {}
-    for row in stored:
-        trees.setdefault(row["treeID"], {})[row["id"]] = row.asDict()
-    if fitted.name == "forest":
-        scales = [1.0 / len(trees)] * len(trees)
-    else:
-        scales = list(model.treeWeights)
-    leaves, base = [], 0.0
-    for tree, nodes in trees.items():
-        found, mean = _leaves(nodes, scales[tree])
-        leaves += found
-        base += mean
-    return leaves, base
-
-
-def _tree_impacts(values: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
-    out = np.zeros_like(values)
-    for leaf in leaves:
-        x = values[:, leaf.features]
-        pattern = ((x > leaf.low) & (x <= leaf.high)) @ (1 << np.arange(len(leaf.features)))
-        out[:, leaf.features] += leaf.shares[pattern]
-    return out
+    count = model.getNumTrees
+    return trees.from_nodes(spark.read.parquet(f"{path}/data"), [1.0 / count] * count)
 
 
 def _contributions(features: Sequence[str], values: Column, impacts: Column) -> Column:
@@ -132,9 +45,12 @@ def _contributions(features: Sequence[str], values: Column, impacts: Column) ->
 
 
 def explain_trees(fitted: Fitted, rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Key, prediction, base value, and a contribution per feature; base + impacts = prediction."""
-    leaves, base = tree_leaves(fitted)
-    features = list(fitted.features)
+    """Key, prediction, base value, and a contribution per feature; base + impacts = prediction.
+
+    Boosted trees add up on the scale of the link, the log of the prediction.
+    """
+    ensemble = replace(tree_ensemble(fitted))
+    features, base = list(fitted.features), ensemble.expected
     inputs = rows.select(
         *key, F.array(*[F.col(f).cast("double") for f in features]).alias("values")
     )
@@ -142,18 +58,24 @@ def explain_trees(fitted: Fitted, rows: DataFrame, key: Sequence[str] = KEY) ->
     def impacts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = np.array(batch["values"].tolist(), dtype=float).reshape(len(batch), len(features))
-            batch["impacts"] = list(_tree_impacts(values, leaves))
+            batch["impacts"] = list(ensemble.contributions(values))
             yield batch
 
     schema = ", ".join(
         f"{f.name} {f.dataType.simpleString()}" for f in inputs.schema.fields
     ) + ", impacts array<double>"
-    return inputs.mapInPandas(impacts, schema).select(
+    return _told(
+        fitted, inputs.mapInPandas(impacts, schema), key, base, ensemble.link
+    )
+
+
+def _told(fitted: Fitted, arrays: DataFrame, key: Sequence[str], base: float, link: str) -> DataFrame:
+    return arrays.select(
         *key,
-        F.lit(fitted.name).alias("model"),
+        F.lit(fitted.name).alias("model"), F.lit(link).alias("link"),
         (F.lit(base) + F.aggregate("impacts", F.lit(0.0), lambda a, x: a + x)).alias("prediction"),
         F.lit(base).alias("base_value"),
-        _contributions(features, F.col("values"), F.col("impacts")).alias("contributions"),
+        _contributions(fitted.features, F.col("values"), F.col("impacts")).alias("contributions"),
     )
 
 
@@ -169,13 +91,7 @@ def explain_linear(fitted: Fitted, rows: DataFrame, key: Sequence[str] = KEY) ->
         impacts.append((x - float(m)) * float(b / s if s > 0 else 0.0))
     base = float(regression.intercept)
     arrays = rows.select(*key, F.array(*values).alias("values"), F.array(*impacts).alias("impacts"))
-    return arrays.select(
-        *key,
-        F.lit(fitted.name).alias("model"),
-        (F.lit(base) + F.aggregate("impacts", F.lit(0.0), lambda a, x: a + x)).alias("prediction"),
-        F.lit(base).alias("base_value"),
-        _contributions(fitted.features, F.col("values"), F.col("impacts")).alias("contributions"),
-    )
+    return _told(fitted, arrays, key, base, "log")
 
 
 def explain(fitted: Fitted, rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -241,8 +157,9 @@ def interpretation(summary: DataFrame, n: int = 3) -> DataFrame:
             c["feature"], F.lit(f" ({sign}"), F.bround(c["impact"], 4).cast("decimal(28,4)").cast("string"), F.lit(")")
         )), ", ")
 
+    units = F.when(F.col("link") == "log", F.exp("prediction")).otherwise(F.col("prediction"))
     return summary.withColumn("interpretation", F.concat(
-        F.bround("prediction", 2).cast("decimal(28,2)").cast("string"),
+        F.bround(units, 2).cast("decimal(28,2)").cast("string"),
         F.lit(" units are predicted. Raised by: "), listing("top_positive", "+"),
         F.lit("; lowered by: "), listing("top_negative", ""), F.lit("."),
     ))

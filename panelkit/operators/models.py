@@ -1,7 +1,6 @@
-"""Demand models on Spark ML: Tweedie regression, boosted trees, random forest.
+"""Demand models: Tweedie regression and random forest on Spark ML, boosted trees with Tweedie loss.
 
-Spark's boosted trees have no Tweedie loss. The Tweedie loss is kept by the generalized linear
-model, the boosting by the trees; both predict the same target from the same features.
+Spark's boosted trees have no Tweedie loss, so `panelkit.operators.boosting` has its own.
 """
 
 from __future__ import annotations
@@ -12,13 +11,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import (
-    GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor,
-)
+from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import settings
+from panelkit.operators import boosting, trees
 from panelkit.operators import features as X
 from panelkit.operators import metrics as M
 from panelkit.operators.split import drop_warm_up, fill_missing
@@ -75,12 +73,23 @@ def training_table(
     return filled.withColumn(LABEL, F.col(LABEL).cast("double"))
 
 
+@dataclass
+class TreeModel:
+    """An ensemble with the columns it reads."""
+
+    trees: trees.TreeEnsemble
+    features: list[str]
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("prediction", trees.predicted(self.trees, self.features))
+
+
 @dataclass
 class Fitted:
     """A fitted model with what it was fitted on."""
 
     name: str
-    model: PipelineModel
+    model: PipelineModel | TreeModel
     features: list[str]
     info: dict[str, str] = field(default_factory=dict)
 
@@ -114,17 +123,6 @@ def fit_tweedie(
     )
 
 
-def _stop_at(errors: Sequence[float], patience: int) -> int:
-    """Number of rounds up to the best one, looking no further than `patience` rounds past it."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def fit_boosted(
     train: DataFrame,
     validation: DataFrame | None = None,
@@ -134,34 +132,25 @@ def fit_boosted(
     depth: int = DEPTH,
     step: float = STEP,
     seed: int = settings.SEED,
+    variance_power: float = VARIANCE_POWER,
+    shape_rows: int = boosting.SHAPE_ROWS,
 ) -> Fitted:
-    """Boosted trees. With validation rows, the rounds past the best validation error are cut.
+    """Boosted trees with the Tweedie loss and a log link.
 
-    Spark's own early stopping looks at one step only, so all rounds are fitted, each judged on
-    the validation rows, and the model is refitted to the best number of rounds.
+    With validation rows the fit stops `patience` rounds after the best validation loss, and the
+    ensemble is cut to the rounds up to there. `shape_rows` bounds the labelled rows that splits are
+    searched on; leaf values and losses are those of all rows.
     """
     features = list(features or tree_features())
-    assembler = _assembler(features)
-
-    def booster(n: int) -> GBTRegressor:
-        return GBTRegressor(
-            labelCol=LABEL, maxIter=n, maxDepth=depth, stepSize=step, subsamplingRate=FRACTION,
-            featureSubsetStrategy=str(FRACTION), seed=seed,
-        )
-
-    vectors = assembler.transform(train).select("features", LABEL).persist()
-    try:
-        model, best = booster(rounds).fit(vectors), rounds
-        if validation is not None:
-            judged = assembler.transform(validation).select("features", LABEL)
-            best = _stop_at(model.evaluateEachIteration(judged, "squared"), patience)
-            if best < rounds:
-                model = booster(best).fit(vectors)
-    finally:
-        vectors.unpersist()
+    fitted = boosting.fit(
+        train, validation, features, LABEL, rounds, patience, depth, step, FRACTION,
+        boosting.Tweedie(variance_power), seed=seed, shape_rows=shape_rows,
+    )
     return Fitted(
-        "boosted", PipelineModel([assembler, model]), features,
-        {"rounds": str(rounds), "best_round": str(best)},
+        "boosted", TreeModel(fitted.trees, features), features,
+        {"rounds": str(fitted.rounds), "best_round": str(fitted.best_round),
+         "loss": f"tweedie({variance_power})",
+         "train_loss": ",".join(map(repr, fitted.train_loss))},
     )
 
 
@@ -224,7 +213,10 @@ def importances(fitted: Fitted, top_n: int | None = None) -> DataFrame:
     """(model, rank, feature, importance, relative), largest first; at most one row per feature."""
     from pyspark.sql import SparkSession
 
-    vector = fitted.model.stages[-1].featureImportances.toArray()
+    if isinstance(fitted.model, TreeModel):
+        vector = fitted.model.trees.importances(len(fitted.features))
+    else:
+        vector = fitted.model.stages[-1].featureImportances.toArray()
     ranked = sorted(zip(fitted.features, vector, strict=True), key=lambda p: (-p[1], p[0]))
     top = max((v for _, v in ranked), default=0.0) or 1.0
     rows = [
@@ -259,8 +251,13 @@ def compare_predictions(
 
 
 def save(fitted: Fitted, path: str) -> None:
-    fitted.model.write().overwrite().save(path)
+    if isinstance(fitted.model, TreeModel):
+        trees.save(fitted.model.trees, path)
+    else:
+        fitted.model.write().overwrite().save(path)
 
 
 def load(name: str, path: str, features: Sequence[str]) -> Fitted:
+    if name == "boosted":
+        return Fitted(name, TreeModel(trees.load(path), list(features)), list(features))
     return Fitted(name, PipelineModel.load(path), list(features))

@@ -12,7 +12,7 @@ from panelkit import settings
 from panelkit.catalog import models as Q
 from panelkit.operators import attribution as E
 from panelkit.operators import models as L
-from panelkit.operators.attribution import _shares
+from panelkit.operators import boosting, trees
 from panelkit.plans.features import trade_features
 
 FEATURES = ["a", "b", "c", "d"]
@@ -45,12 +45,6 @@ def test_a_broken_model_does_not_stop_the_others(fitted):
     assert set(fitted) == set(L.MODELS)
 
 
-def test_early_stopping():
-    assert L._stop_at([5, 4, 3, 4, 4, 1], 2) == 3
-    assert L._stop_at([5, 4, 3, 4, 4, 1], 4) == 6
-    assert L._stop_at([1.0], 5) == 1
-
-
 def test_best_round_within_rounds(fitted):
     assert 1 <= int(fitted["boosted"].info["best_round"]) <= 8
 
@@ -60,27 +54,114 @@ def test_contributions_add_up_to_the_prediction(rows, fitted, name):
     one = fitted[name]
     told = E.explain(one, rows, KEY)
     raw = one.model.transform(rows)
-    scale = F.log("prediction") if name == "tweedie" else F.col("prediction")
+    scale = F.col("prediction") if name == "forest" else F.log("prediction")
     joined = told.join(raw.select("day_num", scale.alias("raw")), "day_num")
     worst = joined.agg(F.max(F.abs(F.col("raw") - F.col("prediction")))).first()[0]
     assert worst < 1e-6
 
 
-def test_shares_equal_enumerated_coalitions():
+def _random_ensemble(draw, n_trees, depth, features):
+    """Random trees; features may repeat on a path."""
+    nodes = {k: [] for k in ("tree", "feature", "threshold", "left", "right", "value", "cover", "gain")}
+
+    def add(tree, level, cover):
+        at = len(nodes["tree"])
+        leaf = level == depth or (level > 1 and draw.random() < 0.2)
+        for k, v in (("tree", tree), ("feature", int(draw.integers(features))), ("threshold", draw.normal()), ("left", at),
+                     ("right", at), ("value", draw.normal() if leaf else 0.0), ("cover", cover), ("gain", 1.0)):
+            nodes[k].append(v)
+        if not leaf:
+            part = draw.uniform(0.05, 0.95)
+            nodes["left"][at] = add(tree, level + 1, cover * part)
+            nodes["right"][at] = add(tree, level + 1, cover * (1 - part))
+        return at
+
+    for t in range(n_trees):
+        add(t, 0, 100.0)
+    return trees.TreeEnsemble(**{k: np.array(v) for k, v in nodes.items()}, base=0.25)
+
+
+def _worth(one, root, x, known):
+    """Expected value of a tree where only the features in `known` are known."""
+    if one.is_leaf[root]:
+        return one.value[root]
+    f, sides = one.feature[root], (one.left[root], one.right[root])
+    if f in known:
+        return _worth(one, sides[0] if x[f] <= one.threshold[root] else sides[1], x, known)
+    return sum(one.cover[s] / one.cover[root] * _worth(one, s, x, known) for s in sides)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 5, 8])
+def test_contributions_equal_enumerated_coalitions(depth):
     from itertools import combinations
-    cover, value = [0.3, 0.6, 0.5], 2.0
-    table = _shares(value, cover)
-    for p in range(8):
-        agrees = [(p >> j) & 1 for j in range(3)]
-        def worth(coalition):
-            return value * math.prod(agrees[j] if j in coalition else cover[j] for j in range(3))
-        for i in range(3):
-            others = [j for j in range(3) if j != i]
+    draw = np.random.default_rng(depth)
+    n = 5
+    one = _random_ensemble(draw, 3, depth, n)
+    x = draw.normal(size=(6, n))
+    x[0, 0] = np.nan
+    got = one.contributions(x)
+    assert np.allclose(one.expected + got.sum(axis=1), one.margins(x), atol=1e-10)
+    for r in range(len(x)):
+        def worth(known, row=x[r]):
+            return sum(_worth(one, root, row, known) for root in one.roots)
+        for i in range(n):
+            others = [j for j in range(n) if j != i]
             expected = sum(
-                math.factorial(k) * math.factorial(2 - k) / 6 * (worth({*s, i}) - worth(set(s)))
-                for k in range(3) for s in combinations(others, k)
+                math.factorial(k) * math.factorial(n - 1 - k) / math.factorial(n) * (worth({*s, i}) - worth(set(s)))
+                for k in range(n) for s in combinations(others, k)
             )
-            assert math.isclose(table[p, i], expected, abs_tol=1e-12)
+            assert math.isclose(got[r, i], expected, abs_tol=1e-10)
+
+
+def test_a_large_ensemble_is_prepared_in_seconds():
+    import time
+    one = _random_ensemble(np.random.default_rng(3), 120, 8, 60)
+    start = time.process_time()
+    assert len(one.paths) == 120
+    assert time.process_time() - start < 5
+    x = np.random.default_rng(4).normal(size=(20, 60))
+    assert np.allclose(one.expected + one.contributions(x).sum(axis=1), one.margins(x), atol=1e-6)
+
+
+def test_loss_falls_every_round_and_the_best_prefix_is_kept(rows, monkeypatch):
+    train, val = rows.filter("day_num < 450"), rows.filter("day_num >= 450")
+    monkeypatch.setattr(boosting, "KEPT_ROUNDS", 4)
+
+    def fit(rounds, held):
+        return boosting.fit(train, held, FEATURES, "sales", rounds, 3, 4, 0.4, seed=5)
+
+    stopped = fit(60, val)
+    assert all(b < a for a, b in zip(stopped.train_loss, stopped.train_loss[1:]))
+    losses = stopped.validation_loss
+    assert stopped.best_round == max(1, int(np.argmin(losses))) and stopped.rounds < 60
+    assert len(losses) - 1 == stopped.rounds == stopped.best_round + 3
+    short = fit(stopped.best_round, None)
+    assert short.rounds == stopped.best_round == len(stopped.trees.roots)
+    assert np.array_equal(short.trees.value, stopped.trees.value) and np.array_equal(short.trees.threshold, stopped.trees.threshold)
+
+
+def test_boosting_follows_the_definition(rows):
+    """One full-depth round on all rows equals a split searched by hand and its Newton steps."""
+    data = rows.orderBy("day_num").toPandas()
+    x, y = data[FEATURES].to_numpy(), data["sales"].to_numpy()
+    base = math.log(y.mean())
+    g, h = boosting.Tweedie(1.1).derivatives(y, np.full(len(y), base))
+    best = (0.0, None)
+    edges = boosting.bin_edges(rows, FEATURES)
+    for f in range(4):
+        for cut in edges[f]:
+            lo = x[:, f] <= cut
+            if h[lo].sum() >= 1 and h[~lo].sum() >= 1:
+                gain = sum(g[s].sum() ** 2 / (h[s].sum() + 1) for s in (lo, ~lo)) - g.sum() ** 2 / (h.sum() + 1)
+                best = max(best, (gain, (f, cut)), key=lambda b: b[0])
+    got = boosting.fit(rows, None, FEATURES, "sales", 1, 1, 1, 0.1, fraction=1.0)
+    one = got.trees
+    assert (one.feature[0], one.threshold[0]) == best[1] and math.isclose(one.gain[0], best[0], rel_tol=1e-9)
+    for side, mask in ((1, x[:, best[1][0]] <= best[1][1]), (2, x[:, best[1][0]] > best[1][1])):
+        assert math.isclose(one.value[side], -0.1 * g[mask].sum() / (h[mask].sum() + 1), rel_tol=1e-9)
+        assert one.cover[side] == mask.sum()
+    after = boosting.Tweedie(1.1).loss(y, one.margins(x)).mean()
+    assert math.isclose(got.train_loss[1], after, rel_tol=1e-9)
 
 
 def test_predictions_and_reports(rows, fitted):
@@ -107,10 +188,11 @@ def test_summary_orders_and_limits(rows, fitted):
     assert [r["feature"] for r in importance][:1] and len(importance) == 4
 
 
-def test_save_and_load(rows, fitted, tmp_path):
-    one = fitted["forest"]
+@pytest.mark.parametrize("name", ["forest", "boosted"])
+def test_save_and_load(rows, fitted, tmp_path, name):
+    one = fitted[name]
     L.save(one, str(tmp_path / "m"))
-    again = L.load("forest", str(tmp_path / "m"), one.features)
+    again = L.load(name, str(tmp_path / "m"), one.features)
     a, b = (L.predict(m, rows, KEY).orderBy("day_num").collect() for m in (one, again))
     assert a == b
 
@@ -134,11 +216,13 @@ def test_the_bound_on_rows_does_not_cut_the_features(spark, folder):
     assert all(r[1] == pytest.approx(wanted[r[0]]) for r in means) and len(means) == len(wanted)
 
 
-def test_the_forest_query_fits_at_the_defaults(spark, folder, monkeypatch):
+def test_the_tree_queries_fit_at_the_defaults(spark, folder, monkeypatch):
     monkeypatch.setattr(Q, "_cache", {})
     monkeypatch.setattr(Q, "_rows", lambda spark, folder, split: split)
     monkeypatch.setattr(L, "fit_forest", lambda *rows, **changed: (rows, changed))
+    monkeypatch.setattr(L, "fit_boosted", lambda *rows, **changed: (rows, changed))
     assert Q._forest(spark, folder) == (("train",), {})
+    assert Q._boosted(spark, folder) == (("train", "val"), {})
 
 
 def test_leaky_features_are_off_by_default():
