@@ -302,8 +302,8 @@ def fit(
                 own = steps(np.stack([np.bincount(at, weights=w, minlength=len(tree.feature)) for w in (g, h)]))
                 following = shape(score + own[at])
             sums, losses = job.result()
-            train_loss.append(losses[0] / losses[1])
-            held_loss.append(losses[2] / losses[3] if losses[3] else float("nan"))
+            train_loss.append(float(losses[0] / losses[1]))
+            held_loss.append(float(losses[2] / losses[3]) if losses[3] else float("nan"))
             if held_loss[-1] < held_loss[best]:
                 best = len(held_loss) - 1
             if last or (losses[3] and len(trees) - best >= patience):

@@ -18,8 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Values of (rows x leaves x path features) that a task holds at a time.
-CELLS = 1 << 20
+#: Values of (rows x leaves x path features) that a task holds at a time; they stay near the processor.
+CELLS = 1 << 16
 
 
 @dataclass(frozen=True, eq=False)
@@ -114,6 +114,8 @@ class TreeEnsemble:
     def contributions(self, x: np.ndarray) -> np.ndarray:
         """Shapley value of every feature for each row: with `expected` they add up to the margin."""
         out = np.zeros_like(x)
+        # Missing values go right, so they are above every cut; the least value is above no end.
+        x = np.nan_to_num(x, nan=np.inf, posinf=np.inf, neginf=np.finfo(float).min)
         for paths in self.paths:
             rows = max(1, CELLS // max(paths.cover.size, 1))
             for start in range(0, len(x), rows):
@@ -144,31 +146,31 @@ class Paths:
         return Paths(np.array([v for v, _ in leaves]), feature, low, high, cover)
 
     @cached_property
-    def points(self) -> tuple[np.ndarray, np.ndarray]:
-        """Points and weights on [0, 1], exact for products of all path features but one."""
+    def rule(self) -> tuple[np.ndarray, ...]:
+        """What every batch needs, from Gauss-Legendre points on [0, 1] that are exact for the
+        product of all path features but one: per leaf the logarithms of that product for no
+        agreement and of the ratio that each agreement brings, and the factors of the shares of a
+        feature that agrees and of one that does not; also the order of the columns by feature."""
         t, weight = np.polynomial.legendre.leggauss((self.cover.shape[1] + 1) // 2)
-        return (t + 1) / 2, weight / 2
+        t, weight = (t + 1) / 2, weight / 2
+        apart = (1 - t) * self.cover[:, :, None]
+        agreed = apart + t
+        order = np.argsort(self.feature.ravel(), kind="stable")
+        columns, first = np.unique(self.feature.ravel()[order], return_index=True)
+        return (
+            np.log(apart).sum(axis=1)[:, :, None], np.log(agreed / apart).transpose(0, 2, 1),
+            weight[None, :, None] * self.value[:, None, None],
+            (1 - self.cover)[:, :, None] / agreed, -self.cover[:, :, None] / apart, order, columns, first,
+        )
 
     def add_contributions(self, x: np.ndarray, out: np.ndarray) -> None:
-        values = x[:, self.feature]
-        # The fill-up agrees with everything, a missing value included.
-        agrees = ((values > self.low) | np.isneginf(self.low)) & ((values <= self.high) | np.isposinf(self.high))
-        # Missing values go right: they agree with all intervals without an upper end.
-        missing = np.isnan(values)
-        if missing.any():
-            agrees = np.where(missing, np.isposinf(self.high), agrees)
-        agrees = agrees.astype(float)
-        shares = np.zeros_like(agrees)
-        for t, weight in zip(*self.points, strict=True):
-            factor = (1 - t) * self.cover + t * agrees
-            whole = factor.prod(axis=2) * (weight * self.value)
-            # Only a side without training rows, which no row takes either, has a factor of zero.
-            shares += np.divide(whole[:, :, None], factor, out=np.zeros_like(factor), where=factor > 0)
-        shares *= agrees - self.cover
-        columns, place = np.unique(self.feature, return_inverse=True)
-        pick = np.zeros((self.feature.size, len(columns)))
-        pick[np.arange(self.feature.size), place.ravel()] = 1.0
-        out[:, columns] += shares.reshape(len(x), -1) @ pick
+        none, ratio, weight, agreed, apart, order, columns, first = self.rule
+        values = x[:, self.feature.ravel()].T.reshape(*self.feature.shape, len(x))
+        agrees = ((values > self.low[:, :, None]) & (values <= self.high[:, :, None])).astype(float)
+        whole = np.exp(np.matmul(ratio, agrees) + none) * weight
+        if_not = np.matmul(apart, whole)
+        shares = if_not + agrees * (np.matmul(agreed, whole) - if_not)
+        out[:, columns] += np.add.reduceat(shares.reshape(-1, len(x))[order], first, axis=0).T
 
 
 def matrix(batch: pd.DataFrame) -> np.ndarray:
