@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("panel", "series", "analytics", "inventory", "text", "models")
+PARTS = ("panel", "series", "analytics", "inventory", "text", "models", "explained")
 
 
 def _merged(attribute: str) -> dict:

@@ -15,6 +15,7 @@ from panelkit.operators import features as X
 from panelkit.operators import metrics as M
 from panelkit.operators import split as S
 from panelkit.sources import trade
+from panelkit.storage import stage
 
 
 def _round(df, **digits):
@@ -65,7 +66,7 @@ def _averages(spark, folder):
 def average_percentiles(spark, folder):
     """Exact deciles of the series averages, and of the quantities of single order lines."""
     wanted = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
-    averages = exact_percentiles(_averages(spark, folder), "avg_sales", wanted)
+    averages = exact_percentiles(stage(_averages(spark, folder), "averages"), "avg_sales", wanted)
     prices = exact_percentiles(trade.table(spark, folder, "lineitem"), "l_extendedprice", wanted)
     both = averages.withColumn("of", F.lit("avg_sales")).unionByName(
         prices.withColumn("of", F.lit("l_extendedprice"))

@@ -7,7 +7,7 @@ Contributions stay arrays inside the row; nothing is shuffled to rank them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import replace
 
 import numpy as np
@@ -65,33 +65,48 @@ def explain_trees(fitted: Fitted, rows: DataFrame, key: Sequence[str] = KEY) ->
         f"{f.name} {f.dataType.simpleString()}" for f in inputs.schema.fields
     ) + ", impacts array<double>"
     return _told(
-        fitted, inputs.mapInPandas(impacts, schema), key, base, ensemble.link
+        fitted.name, features, inputs.mapInPandas(impacts, schema), key, base, ensemble.link
     )
 
 
-def _told(fitted: Fitted, arrays: DataFrame, key: Sequence[str], base: float, link: str) -> DataFrame:
+def _told(
+    name: str, features: Sequence[str], arrays: DataFrame, key: Sequence[str], base: float, link: str
+) -> DataFrame:
     return arrays.select(
         *key,
-        F.lit(fitted.name).alias("model"), F.lit(link).alias("link"),
+        F.lit(name).alias("model"), F.lit(link).alias("link"),
         (F.lit(base) + F.aggregate("impacts", F.lit(0.0), lambda a, x: a + x)).alias("prediction"),
         F.lit(base).alias("base_value"),
-        _contributions(fitted.features, F.col("values"), F.col("impacts")).alias("contributions"),
+        _contributions(features, F.col("values"), F.col("impacts")).alias("contributions"),
     )
 
 
+def explain_weights(
+    rows: DataFrame,
+    weights: Mapping[str, float],
+    centers: Mapping[str, float],
+    base: float,
+    name: str = "weights",
+    link: str = "identity",
+    key: Sequence[str] = KEY,
+) -> DataFrame:
+    """The same for any weighted sum: a feature moves it by its weight times its distance from the
+    center, and nothing else does."""
+    values = [F.col(f).cast("double") for f in weights]
+    impacts = [(x - float(centers[f])) * float(w) for x, (f, w) in zip(values, weights.items(), strict=True)]
+    arrays = rows.select(*key, F.array(*values).alias("values"), F.array(*impacts).alias("impacts"))
+    return _told(name, list(weights), arrays, key, base, link)
+
+
 def explain_linear(fitted: Fitted, rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """The same for the Tweedie regression, on the scale of the link: log of the prediction."""
     scaler, regression = fitted.model.stages[1], fitted.model.stages[2]
-    spread, mean = scaler.std.toArray(), scaler.mean.toArray()
-    slopes = regression.coefficients.toArray()
-    values, impacts = [], []
-    for name, b, m, s in zip(fitted.features, slopes, mean, spread, strict=True):
-        x = F.col(name).cast("double")
-        values.append(x)
-        impacts.append((x - float(m)) * float(b / s if s > 0 else 0.0))
-    base = float(regression.intercept)
-    arrays = rows.select(*key, F.array(*values).alias("values"), F.array(*impacts).alias("impacts"))
-    return _told(fitted, arrays, key, base, "log")
+    slopes = {
+        f: float(b / s if s > 0 else 0.0)
+        for f, b, s in zip(fitted.features, regression.coefficients.toArray(), scaler.std.toArray(), strict=True)
+    }
+    centers = dict(zip(fitted.features, map(float, scaler.mean.toArray()), strict=True))
+    return explain_weights(rows, slopes, centers, float(regression.intercept), fitted.name, "log", key)
 
 
 def explain(fitted: Fitted, rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

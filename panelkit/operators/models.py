@@ -237,7 +237,7 @@ def sample_predictions(
 ) -> DataFrame:
     """n rows drawn by a seeded hash: the actual value, and prediction and error of every model."""
     wide = compare_predictions(predictions, key, models)
-    drawn = wide.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    drawn = wide.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), *key)), *key).limit(n)
     return drawn.withColumns({f"{m}_error": F.abs(F.col(m) - F.col(LABEL)) for m in models})
 
 

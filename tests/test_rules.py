@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit.functions import columns as C
+from panelkit.catalog import analytics
 from panelkit.functions.percentile import exact_percentiles
 from panelkit.functions.text import bigrams, words
 from panelkit.operators import answers as Q
@@ -68,9 +69,20 @@ def test_percentiles_equal_sorting(spark, seed, size, accuracy):
     values = np.concatenate([draw.normal(size=size), np.full(size * 4 // 5, 1.0), draw.integers(0, 5, size * 3 // 5)])
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     wanted = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.9, "e": 1.0}
-    got = exact_percentiles(df, "x", wanted, accuracy=accuracy).first()
-    for name, q in wanted.items():
-        assert math.isclose(got[name], float(np.quantile(values, q)), rel_tol=1e-12)
+    for ranked in (20, 10_000):
+        got = exact_percentiles(df, "x", wanted, accuracy, ranked).first()
+        for name, q in wanted.items():
+            assert math.isclose(got[name], float(np.quantile(values, q)), rel_tol=1e-12)
+
+
+def test_percentiles_of_nothing(spark):
+    none = spark.createDataFrame([(None,)], "x double")
+    assert exact_percentiles(none, "x", {"a": 0.5}).first()["a"] is None
+
+
+def test_rank_cuts_read_their_input_once(spark, folder):
+    plan = analytics.underperformers(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Window" not in plan
 
 
 def test_metrics(spark):
