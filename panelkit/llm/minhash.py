@@ -35,6 +35,9 @@ SLICE = 1 << 20
 #: Members of a band that are compared with one another in one task; larger bands are cut.
 CHUNK = 256
 
+#: What tells sets of shingles apart.
+SAME = ["n_shingles", "lo", "hi"]
+
 _SIZE = BANDS * ROWS
 _FACTORS = mix(np.arange(1, LONG + 1, dtype=np.uint64)) | np.uint64(1)
 _BAND_MARKS = mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64))
@@ -93,7 +96,7 @@ def surviving(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, lo, hi, bands, signature) per row of `docs` (doc_id, text).
+    """(doc_id, text_key, n_shingles, lo, hi, bands, signature) per row of `docs` (doc_id, text).
 
     lo and hi are sums over the set: equal for equal sets. Empty sets have null bands.
     """
@@ -115,17 +118,37 @@ def sketches(docs: DataFrame) -> DataFrame:
                     bands[i], marks[i] = keys[row].view(np.int64), some[row].tobytes()
             lo, hi = sums.view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts), pa.array(lo), pa.array(hi),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-                ["doc_id", "n_shingles", "lo", "hi", "bands", "signature"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(counts), pa.array(lo),
+                 pa.array(hi), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "lo", "hi", "bands", "signature"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return _named(docs).select("doc_id", "text_key", "text").mapInArrow(
         run,
-        "doc_id long, n_shingles long, lo long, hi long, bands array<long>, signature binary",
+        "doc_id long, text_key string, n_shingles long, lo long, hi long, bands array<long>, signature binary",
     )
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text): the two name a text even where ids repeat."""
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key"), "text",
+    )
+
+
+def _ties(linkable: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): classes that one doc_id has texts in."""
+    repeated = linkable.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    member = linkable.select("doc_id", *SAME).join(repeated, "doc_id", "left_semi").join(
+        classes.select(*SAME, "id"), SAME
+    ).select("doc_id", "id").distinct()
+    least = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("most")).filter("a < most")
+    return least.select("doc_id", "a").join(member, "doc_id").filter("a < id").select(
+        "a", F.col("id").alias("b")
+    ).distinct()
+
+
 def _long_marks(texts: DataFrame) -> DataFrame:
     """(id, n_shingles, bands, signature) of LONG values; texts: (id, text), none without shingles."""
 
@@ -293,25 +316,29 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     lower-cased). component_id is the smallest doc_id reachable by links, kept whether that is the
     document itself.
 
-    Rows with equal sets form a class first and go on as one; only classes are compared. In each
+    Rows with equal sets form a class first and go on as one; only classes are compared, and the
+    signature and text of a class are those of any member, as these are the same for its set. In each
     band every member is first tied to the member it agrees with most, which joins most of a large
     group in a number of pairs that grows with its size only. Then all members of a band whose
     components still differ are compared, so no link between components is left out. All candidates
     come from the bands, all pass the Bayesian comparison, and every link is verified on full sets.
 
     Texts that are null or without words have no shingles and link with nothing. Rows that share a
-    doc_id count as one document. Rows with a null doc_id link with nothing, have a null
-    component_id and are kept. An empty table gives no rows; other columns are not read.
+    doc_id are one document: what any of its texts links with is linked, in whatever order the rows
+    come. Rows with a null doc_id link with nothing, have a null component_id and are kept. Very long
+    texts are read whole, one at a time. An empty table gives no rows; other columns are not read.
     """
     sketched = stage(sketches(docs), "sketches")
     linkable = sketched.filter("n_shingles > 0 and doc_id is not null")
-    same = ["n_shingles", "lo", "hi"]
-    classes = stage(linkable.groupBy(*same).agg(F.min("doc_id").alias("id")), "classes")
-    chosen = (
-        linkable.withColumnRenamed("doc_id", "id").join(classes, [*same, "id"])
-        .dropDuplicates(["id"]).select("id", "n_shingles", "bands", "signature")
+    classes = stage(
+        linkable.groupBy(*SAME).agg(
+            F.min(F.struct("doc_id", "text_key")).alias("first"),
+            F.first("bands").alias("bands"), F.first("signature").alias("signature"),
+        ).withColumn("id", F.monotonically_increasing_id()),
+        "classes",
     )
-    chosen = stage(chosen, "representatives")
+    chosen = classes.select("id", "n_shingles", "bands", "signature")
+    ties = stage(_ties(linkable, classes), "ties")
     keyed = chosen.select("id", F.posexplode("bands").alias("band", "key"))
     several = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = keyed.join(several.select("key", _chunks(F.col("n"))), "key")
@@ -321,13 +348,14 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
         chosen.join(near, "id", "left_semi").select("id", "n_shingles", "bands", "signature"),
         "signatures",
     )
+    first = classes.join(near, "id", "left_semi").select("id", "first.doc_id", "first.text_key")
     texts = stage(
-        docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-        .join(near, "id", "left_semi").dropDuplicates(["id"]), "candidate_texts",
+        _named(docs).join(first, ["doc_id", "text_key"]).select("id", "text").dropDuplicates(["id"]),
+        "candidate_texts",
     )
     alone = shared.withColumn("component", F.col("id"))
     likely = stage(_candidates(alone, marks, percent, best=True), "best_pairs")
-    links = stage(_verified(likely, texts, percent), "best_links")
+    links = stage(_verified(likely, texts, percent).unionByName(ties), "best_links")
     found = stage(components(links), "components").withColumnRenamed("node", "id")
     unfinished = stage(_unfinished(shared, found), "unfinished_bands")
     ids = unfinished.select("id").distinct()
@@ -336,35 +364,37 @@ def link_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     more = stage(_verified(others, texts, percent), "open_links")
     if not more.isEmpty():
         found = components(links.unionByName(more)).withColumnRenamed("node", "id")
-    named = classes.join(found, "id", "left").select(
-        *same, F.coalesce("component", "id").alias("component_id")
-    )
-    rows = sketched.select("doc_id", *same)
-    linked = F.col("n_shingles") > 0
+    labelled = classes.select(*SAME, "id", F.col("first.doc_id").alias("least")).join(
+        found, "id", "left"
+    ).withColumn("component", F.coalesce("component", "id"))
+    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = labelled.join(least, "component").select(*SAME, "component_id")
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     return (
-        rows.join(named, same, "left")
+        sketched.select("doc_id", *SAME).join(named, SAME, "left")
         .select(
             "doc_id", "n_shingles",
-            F.when(linked & F.col("doc_id").isNotNull(), F.col("component_id"))
-            .otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One document of each group of `docs`, with all its columns; repeated doc_ids stay once.
+    """One document of each group of `docs`, with all its columns.
 
-    Rows without doc_id all stay: they are linked with nothing.
+    Of rows that share the doc_id of a kept document, the one whose columns hash lowest stays, in
+    whatever order they come. Rows without doc_id all stay: they are linked with nothing.
     """
     kept = link_documents(docs, percent).filter("kept and doc_id is not null").select(
         F.col("doc_id").alias("_kept")
     ).distinct()
     named = docs.filter("doc_id is not null")
-    return (
-        named.join(kept, named["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-        .unionByName(docs.filter("doc_id is null"))
+    columns = [named[c] for c in docs.columns]
+    chosen = named.join(kept, named["doc_id"] == kept["_kept"], "left_semi").groupBy("doc_id").agg(
+        F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row")
     )
+    return chosen.select("_row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

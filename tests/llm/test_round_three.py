@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.llm import prefix_trie, resampling, sharding
+from panelkit.llm import minhash, prefix_trie, resampling, sharding
 from panelkit.storage import new_path
 
 # ------------------------------------------------------------------------------------ resampling
@@ -235,3 +235,27 @@ def test_slots_are_a_minimal_perfect_hash(n):
     slots = prefix_trie.SlotTable(p, q)
     assert sorted(slots.slots(p, q)) == list(range(n))
     assert (slots.slots(p ^ 1, q) == -1).all()
+
+
+# ------------------------------------------------------------------------------------ repeated ids
+
+
+def _near(words, n):
+    return " ".join(words[:-n] + [f"other{i}" for i in range(n)])
+
+
+def test_repeated_ids_link_alike_in_every_order(spark):
+    """Two texts under one id, a near copy of each under others: one document ties all of them."""
+    one, two = ([f"{c}{i}" for i in range(80)] for c in "ab")
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, _near(one, 3)), (3, _near(two, 3)),
+            (0, _near(two, 4)), (5, "quite another text of a few words"), (5, ""), (4, None), (6, "")]
+    wanted = {0: 0, 1: 0, 2: 0, 3: 0, 4: 4, 5: 5, 6: 6}
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1 + seed % 2)
+        got = minhash.link_documents(docs, 80).collect()
+        assert len(got) == len(rows) and {r["doc_id"]: r["component_id"] for r in got} == wanted
+        assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+        kept = minhash.without_near_duplicates(docs, 80).collect()
+        assert sorted(r["doc_id"] for r in kept) == [0, 4, 5, 6]
+        assert {tuple(r) for r in kept} == {tuple(r) for r in minhash.without_near_duplicates(docs.repartition(3), 80).collect()}
