@@ -1,9 +1,16 @@
 """Language-model scoring by context-tree weighting over the bytes of a text.
 
 A byte is eight binary decisions, one for each node of a binary tree. Every decision has a context
-tree of its own, whose contexts are the bytes before. At each node of it a Krichevsky-Trofimov
-estimate of the decision is mixed with the product of what the longer contexts say; the weights are
-those of context-tree weighting. The code length of a byte is the sum over its eight decisions.
+tree of its own, whose contexts are the bytes before, up to six. At each node of it a
+Krichevsky-Trofimov estimate of the decision is mixed with the product of what the longer contexts
+say; the weights are those of context-tree weighting. The code length of a byte is the sum over its
+eight decisions.
+
+Texts stand in packed blocks, written once. A block is reduced to its distinct bytes-in-context with
+their counts; these go to tasks by the last two bytes of the context, which hold all longer contexts
+below them, and the code lengths come back to the blocks that asked. So the tree grows with the
+corpus, no task holds more than the contexts that end alike, and nothing of it is broadcast but what
+the contexts of up to one byte say, a table of a fixed size.
 """
 
 from __future__ import annotations
@@ -13,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +29,20 @@ from panelkit.llm.common import remainder, slices, table
 from panelkit.llm.shingles import word_hashes
 from panelkit.storage import stage
 
-#: Bits kept of the last byte, the one before, and the one before that: the leaves are at most
-#: 2 ** 17 contexts, which bounds the model whatever it is learned from.
-BITS = (8, 5, 4)
-LEAVES = 1 << sum(BITS[1:])
-#: Code lengths are kept in steps of 1 / SCALE bits, so the whole table is 64 MB at most.
-SCALE = 1024
-#: Bytes of text whose words are looked up together, and bytes worked on at a time.
-BLOCK_BYTES = 12 << 20
+#: Bytes before a byte that its longest context has.
+DEPTH = 6
+#: Bytes of text in a block, and bytes worked on at a time.
+BLOCK_BYTES = 32 << 20
 SLICE = 1 << 20
+#: Words are dealt into so many parts per block.
+WORD_PARTS = 8
 #: Stands for the end of a text among the word hashes.
 END = np.uint64(0x5EED)
+BYTES, WORDS = 0, 1
+U64 = np.uint64
+
+
+# ------------------------------------------------------------------------------ arithmetic
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -44,19 +55,6 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(low)
 
 
-def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How often each of the 255 decisions was 0 and 1, from counts of the 256 bytes (last axis)."""
-    zero = np.zeros((*counts.shape[:-1], 255))
-    one = np.zeros_like(zero)
-    level = counts.astype(float)
-    for bit in range(7, -1, -1):
-        first = (1 << bit) - 1
-        zero[..., first : first + (1 << bit)] = level[..., 0::2]
-        one[..., first : first + (1 << bit)] = level[..., 1::2]
-        level = level[..., 0::2] + level[..., 1::2]
-    return zero, one
-
-
 def evidence(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
     """log probability that the Krichevsky-Trofimov estimator gives to the decisions seen."""
     return _lgamma(zero + 0.5) + _lgamma(one + 0.5) - _lgamma(zero + one + 1) - math.log(math.pi)
@@ -68,145 +66,252 @@ def weighted(own: np.ndarray, longer: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return both, np.exp(own + math.log(0.5) - both)
 
 
-def code_lengths(chance_of_one: np.ndarray) -> np.ndarray:
-    """Bits of each of the 256 bytes from the chances of the 255 decisions (last axis)."""
-    bits = np.zeros((*chance_of_one.shape[:-1], 1))
-    for bit in range(8):
-        first = (1 << bit) - 1
-        p = chance_of_one[..., first : first + (1 << bit)]
-        step = np.stack([-np.log2(1 - p), -np.log2(p)], axis=-1).reshape(*p.shape[:-1], -1)
-        bits = np.repeat(bits, 2, axis=-1) + step
-    return bits
+def decisions(byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight decisions of each byte, one column each: which node, from 0 to 254, and 0 or 1."""
+    up = np.arange(7, -1, -1)
+    node = (1 << (7 - up)) - 1 + (byte[:, None] >> (up + 1))
+    return node, (byte[:, None] >> up) & 1
+
+
+def counted(node: np.ndarray, one: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each node decided 0 and 1; `n` counts each row of both."""
+    times = np.repeat(n, node.shape[1]).astype(float)
+    ones = np.bincount(node.ravel(), weights=times * one.ravel(), minlength=size)
+    return np.bincount(node.ravel(), weights=times, minlength=size) - ones, ones
 
 
 class Subtree:
-    """All contexts that end with one byte, from counts (leaf context, byte): three depths."""
-
-    def __init__(self, counts: np.ndarray):
-        middle = counts.reshape(1 << BITS[1], 1 << BITS[2], 256)
-        self.own, self.chance = [], []
-        for depth in (counts, middle.sum(1), middle.sum((0, 1))):
-            zero, one = decisions(depth)
-            self.own.append(evidence(zero, one))
-            self.chance.append((one + 0.5) / (zero + one + 1))
-        leaf = self.own[0].reshape(1 << BITS[1], 1 << BITS[2], 255)
-        second, self.second_weight = weighted(self.own[1], leaf.sum(1))
-        self.log_weighted, self.first_weight = weighted(self.own[2], second.sum(0))
-
-    def chances(self, root_weight: np.ndarray, root_chance: np.ndarray) -> np.ndarray:
-        """Chance of a 1 in every leaf context and decision, mixed over all four depths."""
-        leaf = self.chance[0].reshape(1 << BITS[1], 1 << BITS[2], 255)
-        w2, w1, w0 = self.second_weight[:, None], self.first_weight, root_weight
-        p = w2 * self.chance[1][:, None] + (1 - w2) * leaf
-        p = w0 * root_chance + (1 - w0) * (w1 * self.chance[2] + (1 - w1) * p)
-        return p.reshape(LEAVES, 255)
-
-
-def context_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Leaf context and byte of each byte of the texts, A-Z lower-cased, and of a zero byte at each
-    end; and the number of bytes of each. The bytes before a text count as zeros.
+    """All contexts that end with the same two bytes. `keys` are distinct and sorted: the bytes of
+    the context from the third last to the earliest, then the byte that follows."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
+        byte = (keys & U64(255)).astype(np.int64)
+        node, self.one = decisions(byte)
+        # A node of the deepest level: context and decision; one level up drops the earliest byte.
+        names = (keys & ~U64(255))[:, None] | node.astype(U64)
+        level, at = np.unique(names.ravel(), return_inverse=True)
+        zero, one = counted(at.reshape(names.shape), self.one, n, len(level))
+        self.leaf, self.up, self.levels = at.reshape(names.shape), [], []
+        longer = None
+        for depth in range(DEPTH, 1, -1):
+            own = evidence(zero, one)
+            whole, weight = (own, np.ones_like(own)) if longer is None else weighted(own, longer)
+            self.levels.append((weight, (one + 0.5) / (zero + one + 1)))
+            if depth == 2:
+                break
+            shorter = ((level >> U64(16)) << U64(8)) | (level & U64(255))
+            level, at = np.unique(shorter, return_inverse=True)
+            self.up.append(at)
+            zero, one, longer = (np.bincount(at, weights=x, minlength=len(level)) for x in (zero, one, whole))
+        self.log_weighted = np.zeros(255)
+        self.log_weighted[(level & U64(255)).astype(np.int64)] = whole
+        self.zero, self.ones = np.zeros(255), np.zeros(255)
+        self.zero[(level & U64(255)).astype(np.int64)] = zero
+        self.ones[(level & U64(255)).astype(np.int64)] = one
+        self.names = level
+
+    def code_lengths(self, top: Top, last: int) -> np.ndarray:
+        """Bits of each key's byte, mixed over all contexts from the empty one to the longest."""
+        shortest = len(self.levels) - 1
+        node = (self.names & U64(255)).astype(np.int64)
+        # From the shortest context to the longest: the part of the mixture that is settled so far,
+        # and the weight that is left for longer contexts.
+        left = (1 - top.root_weight[node]) * (1 - top.weight[last][node])
+        settled = top.root_weight[node] * top.root_chance[node]
+        settled = settled + (1 - top.root_weight[node]) * top.weight[last][node] * top.chance[last][node]
+        for k in range(shortest, -1, -1):
+            weight, chance = self.levels[k]
+            settled, left = settled + left * weight * chance, left * (1 - weight)
+            if k:
+                settled, left = settled[self.up[k - 1]], left[self.up[k - 1]]
+        p = settled[self.leaf]
+        return -np.log2(np.where(self.one == 1, p, 1 - p)).sum(axis=1)
+
+
+class Top:
+    """The contexts of no byte and of one byte, from the counts and weights of the subtrees."""
+
+    def __init__(self, last: np.ndarray, log_weighted: np.ndarray, zero: np.ndarray, ones: np.ndarray):
+        sums = []
+        for x in (log_weighted, zero, ones):
+            total = np.zeros((256, 255))
+            np.add.at(total, last, x)
+            sums.append(total)
+        longer, zero, ones = sums
+        whole, self.weight = weighted(evidence(zero, ones), longer)
+        self.chance = (ones + 0.5) / (zero + ones + 1)
+        zero, ones = zero.sum(axis=0), ones.sum(axis=0)
+        _, self.root_weight = weighted(evidence(zero, ones), whole.sum(axis=0))
+        self.root_chance = (ones + 0.5) / (zero + ones + 1)
+
+
+# ------------------------------------------------------------------------------ packed arrays
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes."""
+    return pa.compress(np.ascontiguousarray(values).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, dtype) -> np.ndarray:
+    raw = pa.decompress(data, n * np.dtype(dtype).itemsize, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, dtype)
+
+
+def _sorted_packed(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys, prepend=U64(0)))
+
+
+def _sorted_unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpacked(data, n, U64), dtype=U64)
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with the sums of their counts."""
+    one, at = np.unique(np.concatenate([np.zeros(0, U64), *keys]), return_inverse=True)
+    n = np.concatenate([np.zeros(0), *counts])
+    return one, np.bincount(at, weights=n, minlength=len(one)).astype(np.int64)
+
+
+# ------------------------------------------------------------------------------ blocks of text
+
+
+def packed_blocks(docs: DataFrame) -> DataFrame:
+    """(block, ids, train, sizes, texts): about BLOCK_BYTES of neighbouring texts per row.
+
+    A block is where texts stand, not what they are: equal ids or texts never meet in one.
     """
-    raw = [(t or "").encode().lower() for t in texts]
-    data = np.frombuffer(bytes(3) + b"".join(r + bytes(3) for r in raw), np.uint8).astype(np.int32)
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-    ends = 3 + np.cumsum(sizes + 3) - 3
-    keys = data[2:-1] << sum(BITS[1:])
-    keys |= (data[1:-2] & ((1 << BITS[1]) - 1)) << BITS[2]
-    keys |= data[:-3] & ((1 << BITS[2]) - 1)
-    keys = (keys << 8) | data[3:]
-    scored = np.ones(len(keys), dtype=bool)
-    scored[ends - 2] = scored[ends - 1] = False
-    return keys[scored], sizes + 1
-
-
-def _byte_counts(texts: DataFrame) -> DataFrame:
-    """(key, n): how often each byte followed each leaf context, over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 * SLICE):
-            keys, counts = np.unique(
-                context_keys(batch.column("text").to_pylist())[0], return_counts=True
+        first, made = TaskContext.get().partitionId() << 32, 0
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def block() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            texts = [t or b"" for t in rows.column("text").to_pylist()]
+            ids = rows.column("doc_id").combine_chunks()
+            offsets = pa.array([0, len(texts)], pa.int32())
+            train = np.array(rows.column("train").to_pylist(), np.uint8)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([first + made]), pa.ListArray.from_arrays(offsets, ids),
+                 pa.array([train.tobytes()], pa.binary()),
+                 pa.array([np.array(list(map(len, texts)), np.int64).tobytes()], pa.binary()),
+                 pa.array([_packed(np.frombuffer(b"".join(texts), np.uint8))], pa.binary())],
+                ["block", "ids", "train", "sizes", "texts"],
             )
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
-
-    counted = texts.select("text").mapInArrow(run, "key int, n long")
-    return counted.groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _dense(part: pa.Table) -> np.ndarray:
-    counts = np.zeros(LEAVES * 256)
-    keys = part.column("key").to_numpy() & (LEAVES * 256 - 1)
-    counts[keys] = part.column("n").to_numpy()
-    return counts.reshape(LEAVES, 256)
-
-
-def byte_model(texts: DataFrame) -> np.ndarray:
-    """Code length of every byte after every leaf context, learned from all `texts` (text).
-
-    Counts of context and byte are summed by the engine. Contexts that end with the same byte are
-    weighted in one task: 2 ** 17 counts at most, whatever the corpus. The driver gets 255 numbers
-    for each last byte, weighs the root, and collects the finished table, of a fixed size.
-    """
-    counts = stage(_byte_counts(texts), "context_counts").withColumn(
-        "last", F.shiftright("key", sum(BITS[1:]) + 8)
-    )
-
-    def upward(part: pa.Table) -> pa.Table:
-        tree = Subtree(_dense(part))
-        return pa.table({"w": [tree.log_weighted.tolist()]})
-
-    longer = counts.groupBy("last").applyInArrow(upward, "w array<double>").collect()
-    totals = np.zeros(256)
-    for row in counts.groupBy(F.col("key").bitwiseAND(255).alias("byte")).agg(F.sum("n").alias("n")).collect():
-        totals[row["byte"]] = row["n"]
-    zero, one = decisions(totals)
-    _, root_weight = weighted(evidence(zero, one), np.sum([r["w"] for r in longer], axis=0) if longer else np.zeros(255))
-    root_chance = (one + 0.5) / (zero + one + 1)
 
-    def downward(part: pa.Table) -> pa.Table:
-        bits = code_lengths(Subtree(_dense(part)).chances(root_weight, root_chance))
-        return pa.table({
-            "last": pa.array([part.column("last")[0].as_py()], pa.int32()),
-            "codes": pa.array([quantised(bits).tobytes()], pa.binary()),
-        })
-
-    unseen = Subtree(np.zeros((LEAVES, 256)))
-    lengths = np.empty((1 << BITS[0], LEAVES * 256), dtype=np.uint16)
-    lengths[:] = quantised(code_lengths(unseen.chances(root_weight, root_chance))).ravel()
-    for row in counts.groupBy("last").applyInArrow(downward, "last int, codes binary").toLocalIterator():
-        lengths[row["last"]] = np.frombuffer(row["codes"], np.uint16)
-    return lengths.ravel()
-
-
-def quantised(bits: np.ndarray) -> np.ndarray:
-    return np.minimum(np.rint(bits * SCALE), 65535).astype(np.uint16)
-
-
-def _text_slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        if held and held + len(text or "") > SLICE:
-            yield start, i
-            start, held = i, 0
-        held += len(text or "")
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def _block_words(part: pa.Table) -> pa.Table:
-    """The distinct words of a block with their number in its training texts; END is one of them."""
-    texts, train = part.column("text").to_pylist(), part.column("train").to_numpy()
-    found = []
-    for a, b in _text_slices(texts):
-        hashes, bounds = word_hashes(texts[a:b])
-        used = np.repeat(train[a:b], np.diff(bounds))
-        words, at = np.unique(hashes, return_inverse=True)
-        found.append((words, np.bincount(at, weights=used, minlength=len(words)).astype(np.int64)))
-    found.append((np.array([END]), np.array([int(train.sum())])))
-    words, at = np.unique(np.concatenate([w for w, _ in found]), return_inverse=True)
-    counts = np.bincount(at, weights=np.concatenate([c for _, c in found]), minlength=len(words))
-    block = np.full(len(words), part.column("block")[0].as_py(), dtype=np.int32)
-    return pa.table({"block": block, "word": words.view(np.int64), "n": counts.astype(np.int64)})
+        for part in slices(batches, "text", SLICE):
+            more = part.column("text").nbytes
+            if held and size + more > BLOCK_BYTES:
+                yield block()
+                held, size, made = [], 0, made + 1
+            held.append(part)
+            size += more
+        if held:
+            yield block()
+
+    rows = docs.select("doc_id", "train", F.col("text").cast("binary").alias("text"))
+    schema = T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema["doc_id"].dataType)),
+        *(T.StructField(c, T.BinaryType()) for c in ("train", "sizes", "texts")),
+    ])
+    return rows.mapInArrow(run, schema)
+
+
+def _texts(row: dict) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Whether they are learned from, and the texts of a block, about SLICE bytes at a time."""
+    sizes, train = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["train"], np.uint8)
+    data = _unpacked(row["texts"], int(sizes.sum()), np.uint8).tobytes().lower()
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes):
+        begin = int(ends[start] - sizes[start])
+        stop = max(start + 1, int(np.searchsorted(ends, begin + SLICE, side="right")))
+        yield train[start:stop] == 1, [
+            data[e - n:e] for e, n in zip(ends[start:stop].tolist(), sizes[start:stop].tolist())
+        ]
+        start = stop
+
+
+def context_keys(texts: list[bytes]) -> np.ndarray:
+    """One number for each byte of the texts and a zero byte at each end: the six bytes before,
+    the last one first, and the byte. The bytes before a text count as zeros."""
+    gap = bytes(DEPTH)
+    data = np.frombuffer(gap + b"".join(t + gap for t in texts), np.uint8).astype(U64)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts = DEPTH + np.cumsum(sizes + DEPTH) - sizes - DEPTH
+    scored = np.zeros(len(data) + 1, np.int8)
+    np.add.at(scored, starts, 1)
+    np.add.at(scored, starts + sizes + 1, -1)
+    at = np.flatnonzero(np.cumsum(scored[:-1]))
+    keys = data[at]
+    for back in range(1, DEPTH + 1):
+        keys |= data[at - back] << U64(8 * (DEPTH + 1 - back))
+    return keys
+
+
+def _distinct(row: dict, n_parts: int) -> Iterator[dict]:
+    """(kind, part, block, n, keys, counts) of the distinct bytes-in-context and words of a block;
+    counts are those in its training texts."""
+    found: dict[int, tuple[list, list]] = {BYTES: ([], []), WORDS: ([], [])}
+
+    def add(kind: int, keys: np.ndarray, train: bool) -> None:
+        one, n = np.unique(keys, return_counts=True)
+        found[kind][0].append(one)
+        found[kind][1].append(n if train else np.zeros(len(n)))
+
+    for train, texts in _texts(row):
+        for side in (True, False):
+            some = [t for t, is_train in zip(texts, train.tolist()) if is_train == side]
+            if some:
+                add(BYTES, context_keys(some), side)
+                hashes, _ = word_hashes([t.decode(errors="surrogateescape") for t in some])
+                add(WORDS, np.concatenate([hashes, np.full(len(some), END)]), side)
+    for kind in (BYTES, WORDS):
+        keys, n = _summed(*found[kind])
+        parts = _parts(kind, keys, n_parts)
+        order = np.argsort(parts, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(parts[order])) + 1):
+            if len(some):
+                yield {
+                    "kind": kind, "part": int(parts[some[0]]), "block": row["block"], "n": len(some),
+                    "keys": _sorted_packed(keys[some]), "counts": _packed(n[some]),
+                }
+
+
+def _parts(kind: int, keys: np.ndarray, n_parts: int) -> np.ndarray:
+    """The last two bytes of a context, or a hash of a word."""
+    return (keys >> U64(40)).astype(np.int64) if kind == BYTES else (keys % U64(n_parts)).astype(np.int64)
+
+
+_FOUND = "kind int, part long, block long, n int, keys binary, counts binary"
+
+
+def _merged(part: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of a part with their sums over all blocks, and the keys of each block."""
+    rows = list(zip(*(part.column(c).to_pylist() for c in ("n", "keys", "counts")), strict=True))
+    keys = [_sorted_unpacked(k, n) for n, k, _ in rows]
+    return *_summed(keys, [_unpacked(c, n, np.int64) for n, _, c in rows]), keys
+
+
+def _upward(part: pa.Table) -> pa.Table:
+    """What a part says to shorter contexts; of words, their number and that of distinct ones."""
+    kind, name = part.column("kind")[0].as_py(), part.column("part")[0].as_py()
+    keys, n, _ = _merged(part)
+    if kind == BYTES:
+        tree = Subtree(keys & U64((1 << 40) - 1), n)
+        sums = np.concatenate([tree.log_weighted, tree.zero, tree.ones])
+    else:
+        sums = np.array([n.sum(), (n > 0).sum()], float)
+    return pa.table({"kind": pa.array([kind], pa.int32()), "last": pa.array([name >> 8 if kind == BYTES else 0]),
+                     "sums": [sums.tolist()]})
+
+
+def _added(part: pa.Table) -> pa.Table:
+    sums = np.sum([np.array(r) for r in part.column("sums").to_pylist()], axis=0)
+    return pa.table({"kind": part.column("kind").slice(0, 1), "last": part.column("last").slice(0, 1),
+                     "sums": [sums.tolist()]})
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -216,72 +321,99 @@ def score_documents(docs: DataFrame) -> DataFrame:
     score is the log10 probability that context-tree weighting gives the bytes of the text and its
     end. base_score is that of its words and its end by add-one counts.
 
-    Documents are dealt into blocks of about BLOCK_BYTES. The words of a block are reduced to their
-    distinct hashes first; counts are summed per word and go back to the blocks that hold the word,
-    so what is shuffled are distinct words per block, not words. Words are told apart by 64 bits.
+    Texts are written once, in packed blocks, and exchanged once, to meet the answers for their
+    block. What is exchanged for the model are distinct bytes-in-context and distinct words per
+    block. Words are told apart by 64 bits.
 
     Null texts count as empty: one token, their end. Null ids count as an empty text for the split;
-    repeated rows count as often as they occur; an empty table gives no rows; other columns are not
-    read. With nothing to learn from every byte costs eight bits.
+    repeated rows and ties count as often as they occur and stand in blocks like others; a very long
+    text makes a block of its own; an empty table gives no rows; other columns are not read. With
+    nothing to learn from every byte costs eight bits.
     """
-    marked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "train", remainder(F.col("doc_id"), 7) != 2
-    )
-    size = marked.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n_blocks = size // BLOCK_BYTES + 1
-    spark = docs.sparkSession
-    lengths = spark.sparkContext.broadcast(byte_model(marked.filter("train")))
-    blocks = marked.withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n_blocks)).cast("int")
-    )
-    words = stage(
-        blocks.groupBy("block").applyInArrow(_block_words, "block int, word long, n long"),
-        "block_words",
+    marked = docs.select("doc_id", "text").withColumn("train", remainder(F.col("doc_id"), 7) != 2)
+    blocks = stage(packed_blocks(marked), "packed_blocks")
+    n_parts = blocks.count() * WORD_PARTS + 1
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows = list(_distinct(batch.slice(i, 1).to_pylist()[0], n_parts))
+                for start in range(0, len(rows), 4096):
+                    yield pa.RecordBatch.from_pylist(rows[start:start + 4096], schema)
+
+    schema = pa.schema([("kind", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("n", pa.int32()),
+                        ("keys", pa.binary()), ("counts", pa.binary())])
+    found = stage(blocks.mapInArrow(reduce, _FOUND), "distinct_keys")
+    # One row per last byte, and one of the words.
+    sums = found.groupBy("kind", "part").applyInArrow(_upward, "kind int, last long, sums array<double>").groupBy(
+        "kind", "last"
+    ).applyInArrow(_added, "kind int, last long, sums array<double>").collect()
+    total, kinds = next((tuple(map(int, r["sums"])) for r in sums if r["kind"] == WORDS), (0, 0))
+    tree = [r for r in sums if r["kind"] == BYTES]
+    from_below = np.array([r["sums"] for r in tree]).reshape(-1, 3, 255)
+    top = Top(np.array([r["last"] for r in tree], np.int64), *from_below.transpose(1, 0, 2))
+
+    def downward(part: pa.Table) -> pa.Table:
+        kind, name = part.column("kind")[0].as_py(), part.column("part")[0].as_py()
+        keys, n, asked = _merged(part)
+        if kind == BYTES:
+            answers = Subtree(keys & U64((1 << 40) - 1), n).code_lengths(top, name >> 8).astype(np.float32)
+        else:
+            answers = n
+        return pa.table({
+            "kind": part.column("kind"), "part": part.column("part"), "block": part.column("block"),
+            "n": part.column("n"), "keys": part.column("keys"),
+            "answers": pa.array([_packed(answers[np.searchsorted(keys, k)]) for k in asked], pa.binary()),
+        })
+
+    known = found.groupBy("kind", "part").applyInArrow(
+        downward, "kind int, part long, block long, n int, keys binary, answers binary"
     )
-    counts = stage(words.groupBy("word").agg(F.sum("n").alias("c")), "word_counts")
-    total, kinds = counts.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, True))
-    ).first()
     whole = math.log10(total + kinds + 1)
-    known = words.select("block", "word").join(counts, "word")
-
-    def score(part: pa.Table, dictionary: pa.Table) -> pa.Table:
-        texts = part.column("text").to_pylist()
-        names = dictionary.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(names)
-        names, c = names[order], dictionary.column("c").to_numpy()[order]
-        end = c[np.searchsorted(names, END)] if len(names) else 0
+
+    def score(block: pa.Table, answers: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        names, values = {}, {}
+        kinds = answers.column("kind").to_numpy()
+        for kind, dtype in ((BYTES, np.float32), (WORDS, np.int64)):
+            mine = answers.filter(pa.array(kinds == kind))
+            n, keys, packed = (mine.column(c).to_pylist() for c in ("n", "keys", "answers"))
+            found = np.concatenate([_sorted_unpacked(k, m) for m, k in zip(n, keys)])
+            order = np.argsort(found)
+            names[kind] = found[order]
+            values[kind] = np.concatenate([_unpacked(v, m, dtype) for m, v in zip(n, packed)])[order]
+        end = int(values[WORDS][np.searchsorted(names[WORDS], END)])
         columns: list[list[np.ndarray]] = [[], [], [], []]
-        for a, b in _text_slices(texts):
-            hashes, bounds = word_hashes(texts[a:b])
-            times = c[np.searchsorted(names, hashes)]
+        for _, texts in _texts(row):
+            hashes, bounds = word_hashes([t.decode(errors="surrogateescape") for t in texts])
+            times = values[WORDS][np.searchsorted(names[WORDS], hashes)]
             logs = np.concatenate([[0.0], np.cumsum(np.log10(times + 1.0))])
             seen = np.concatenate([[0], np.cumsum(times > 0)])
             n_tokens = np.diff(bounds) + 1
             columns[0].append(n_tokens)
             columns[1].append(seen[bounds[1:]] - seen[bounds[:-1]] + (end > 0))
-            columns[2].append(
-                logs[bounds[1:]] - logs[bounds[:-1]] + math.log10(end + 1) - n_tokens * whole
-            )
-            keys, sizes = context_keys(texts[a:b])
-            bits = np.add.reduceat(lengths.value[keys].astype(np.int64), np.cumsum(sizes) - sizes)
-            columns[3].append(bits / SCALE * -math.log10(2))
+            columns[2].append(logs[bounds[1:]] - logs[bounds[:-1]] + math.log10(end + 1) - n_tokens * whole)
+            bits = values[BYTES][np.searchsorted(names[BYTES], context_keys(texts))].astype(float)
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+            columns[3].append(np.add.reduceat(bits, np.cumsum(sizes) - sizes) * -math.log10(2))
         n_tokens, n_known, base, own = map(np.concatenate, columns)
+        train = np.frombuffer(row["train"], np.uint8)
         return pa.table({
-            "doc_id": part.column("doc_id"), "held_out": pa.compute.invert(part.column("train")),
+            "doc_id": block.column("ids").combine_chunks().flatten(), "held_out": pa.array(train == 0),
             "n_tokens": n_tokens, "n_known": n_known,
-            "train_tokens": np.full(len(texts), total), "base_score": base, "score": own,
+            "train_tokens": np.full(len(train), total), "base_score": base, "score": own,
         })
 
-    schema = T.StructType([
+    out = T.StructType([
         docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()),
         *(T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known", "train_tokens")),
         T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
     ])
-    return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(score, schema)
+    return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(score, out)
 
 
 def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, learned from six sevenths of them; odd rows as `score_documents` states."""
     return score_documents(table(spark, sf_dir, "documents"))
 
 

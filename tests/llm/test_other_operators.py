@@ -110,13 +110,13 @@ def test_warc_reader_refuses_damage():
 
 def brute_tree(training):
     """A function (text) -> log10 probability, by context-tree weighting with plain dictionaries."""
-    b1, b2, b3 = context_tree.BITS
+    deep = context_tree.DEPTH
     counts = {}
 
     def steps(text):
-        data = bytes(3) + text.encode().lower() + b"\0"
-        for k in range(3, len(data)):
-            context = (data[k - 1] % (1 << b1), data[k - 2] % (1 << b2), data[k - 3] % (1 << b3))
+        data = bytes(deep) + text.encode().lower() + b"\0"
+        for k in range(deep, len(data)):
+            context = tuple(data[k - 1 - i] for i in range(deep))
             node = 1
             for bit in range(7, -1, -1):
                 one = data[k] >> bit & 1
@@ -125,7 +125,7 @@ def brute_tree(training):
 
     for text in training:
         for context, node, one in steps(text):
-            for depth in range(4):
+            for depth in range(deep + 1):
                 counts.setdefault((context[:depth], node), [0, 0])[one] += 1
     longer = {}
     for context, node in counts:
@@ -140,14 +140,14 @@ def brute_tree(training):
     def whole(key):
         if key not in weighted:
             e = own(counts[key])
-            weighted[key] = e if len(key[0]) == 3 else math.log(0.5) + np.logaddexp(e, sum(map(whole, longer[key])))
+            weighted[key] = e if len(key[0]) == deep else math.log(0.5) + np.logaddexp(e, sum(map(whole, longer[key])))
         return weighted[key]
 
     def chance(context, node, depth):
         key = (context[:depth], node)
         n = counts.get(key, (0, 0))
         p = (n[1] + 0.5) / (sum(n) + 1)
-        if depth == 3:
+        if depth == deep:
             return p
         w = math.exp(math.log(0.5) + own(n) - whole(key)) if key in counts else 0.5
         return w * p + (1 - w) * chance(context, node, depth + 1)
@@ -167,15 +167,36 @@ def test_scores_equal_brute_force(spark, folder):
     score = brute_tree([r["text"] for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 7 != 2])
     got = {r["doc_id"]: r["score"] for r in context_tree.score_documents(docs).collect()}
     for r in rows[:40]:
-        assert got[r["doc_id"]] == pytest.approx(score(r["text"]), rel=1e-3)
-
-
-def test_learned_probabilities_add_up(spark):
-    docs = [(i, random.Random(i).choice(["the cat sat", "a dog ran far", "é cat"]) + " on it " * (i % 4)) for i in range(60)]
-    table = spark.createDataFrame(docs, "doc_id long, text string")
-    lengths = context_tree.byte_model(table).reshape(-1, 256).astype(float) / context_tree.SCALE
-    some = lengths[::997]
-    assert np.abs((2.0 ** -some).sum(axis=1) - 1).max() < 0.01
+        assert got[r["doc_id"]] == pytest.approx(score(r["text"]), rel=1e-5)
+
+
+def test_learned_probabilities_add_up():
+    """The 256 bytes after any context, seen or not, share all probability."""
+    texts = [random.Random(i).choice(["the cat sat", "a dog ran far", "\xe9 cat"]).encode() + b" on it " * (i % 4) for i in range(60)]
+    seen, n = np.unique(context_tree.context_keys(texts), return_counts=True)
+    contexts = {int(k) >> 8 for k in seen[::7]} | {int.from_bytes(b"zz other"[:6], "big"), int(seen[5]) >> 8 ^ 1}
+    every = np.array(sorted({c << 8 | b for c in contexts for b in range(256)} | set(seen.tolist())), np.uint64)
+    counts = np.zeros(len(every), np.int64)
+    counts[np.searchsorted(every, seen)] = n
+    parts = (every >> np.uint64(40)).astype(np.int64)
+    low = np.uint64((1 << 40) - 1)
+    trees = {p: context_tree.Subtree(every[parts == p] & low, counts[parts == p]) for p in np.unique(parts).tolist()}
+    top = context_tree.Top(np.array([p >> 8 for p in trees]), *(
+        np.array([getattr(t, x) for t in trees.values()]) for x in ("log_weighted", "zero", "ones")))
+    bits = np.concatenate([t.code_lengths(top, p >> 8) for p, t in trees.items()])
+    for c in contexts:
+        assert math.isclose((2.0 ** -bits[(every >> np.uint64(8)) == c]).sum(), 1.0, rel_tol=1e-9)
+
+
+def test_more_text_predicts_better(spark, folder):
+    """The tree grows with the corpus: bits a byte of the held-out texts fall."""
+    bits = []
+    for place in (folder, folder.replace("sf0.001", "sf0.01")):
+        docs = spark.read.parquet(f"{place}/documents.parquet")
+        sizes = docs.select("doc_id", (F.octet_length("text") + 1).alias("n"))
+        held = context_tree.score_documents(docs).filter("held_out").join(sizes, "doc_id")
+        bits.append(held.select(-F.sum("score") / F.sum("n") / math.log10(2)).first()[0])
+    assert bits[1] < bits[0] - 0.2
 
 
 def test_lgamma():
