@@ -30,6 +30,8 @@ from panelkit.storage import stage
 BUCKETS, PERCENT, LEAST_WORDS, SEED = 10_000, 25, 20, 7
 #: Longer words stand in the automaton under a short mark, so that its size follows the text's.
 LONGEST = 256
+#: Bytes of text that one automaton serves; its nodes then stay near the processor.
+SCANNED_BYTES = 1 << 20
 #: Fixed value: words are runs of digits, letters a-z and bytes of 0x80 and above.
 TO_SPACE = bytes(
     b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
@@ -120,7 +122,7 @@ def bucket_counts(texts: DataFrame, column: str = "text", buckets: int = BUCKETS
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for part in slices([batch], "text"):
+            for part in slices([batch], "text", SCANNED_BYTES):
                 crc, pairs, begins, _ = scan(part.column("text").to_pylist())
                 for found in (crc, pairs[begins]):
                     total += np.bincount(found % buckets, minlength=buckets)
@@ -151,7 +153,7 @@ def weighed(docs: DataFrame, gain: np.ndarray, keep: Sequence[str]) -> DataFrame
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices([batch], "text"):
+            for part in slices([batch], "text", SCANNED_BYTES):
                 crc, pairs, begins, starts = scan(part.column("text").to_pylist())
                 total = gain[crc % buckets] + gain[pairs % buckets] * begins
                 reach = np.concatenate([[0], np.cumsum(total)])
