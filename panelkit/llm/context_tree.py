@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from panelkit.storage import stage
 #: Bytes before a byte that its longest context has.
 DEPTH = 6
 #: Bytes of text in a block, and bytes worked on at a time.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 64 << 20
 SLICE = 1 << 20
+#: Keys that wait to be added up with those of the slices before.
+WAITING = 2_000_000
 #: Words are dealt into so many parts per block.
 WORD_PARTS = 8
 #: Stands for the end of a text among the word hashes.
@@ -169,7 +172,7 @@ def _sorted_unpacked(data: bytes, n: int) -> np.ndarray:
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sums of their counts."""
     one, at = np.unique(np.concatenate([np.zeros(0, U64), *keys]), return_inverse=True)
-    n = np.concatenate([np.zeros(0), *counts])
+    n = np.concatenate([np.zeros(0, np.int64), *counts])
     return one, np.bincount(at, weights=n, minlength=len(one)).astype(np.int64)
 
 
@@ -177,61 +180,56 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def packed_blocks(docs: DataFrame) -> DataFrame:
-    """(block, ids, train, sizes, texts): about BLOCK_BYTES of neighbouring texts per row.
+    """(block, ids, train, rows, sizes, texts): about BLOCK_BYTES of neighbouring texts per row, packed
+    by slices; `rows` has the number of texts of each slice.
 
-    A block is where texts stand, not what they are: equal ids or texts never meet in one.
+    A block is where texts stand, not what they are: equal ids or texts are not drawn to one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, made = TaskContext.get().partitionId() << 32, 0
-        held: list[pa.RecordBatch] = []
-        size = 0
+        ids, train, sizes, packed, size = [], [], [], [], 0
 
         def block() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held)
-            texts = [t or b"" for t in rows.column("text").to_pylist()]
-            ids = rows.column("doc_id").combine_chunks()
-            offsets = pa.array([0, len(texts)], pa.int32())
-            train = np.array(rows.column("train").to_pylist(), np.uint8)
+            offsets = pa.array([0, sum(map(len, ids))], pa.int32())
+            numbers = [np.concatenate(train), np.array(list(map(len, ids)), np.int64), np.concatenate(sizes)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([first + made]), pa.ListArray.from_arrays(offsets, ids),
-                 pa.array([train.tobytes()], pa.binary()),
-                 pa.array([np.array(list(map(len, texts)), np.int64).tobytes()], pa.binary()),
-                 pa.array([_packed(np.frombuffer(b"".join(texts), np.uint8))], pa.binary())],
-                ["block", "ids", "train", "sizes", "texts"],
+                [pa.array([first + made]), pa.ListArray.from_arrays(offsets, pa.concat_arrays(ids)),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in numbers), pa.array([packed], pa.list_(pa.binary()))],
+                ["block", "ids", "train", "rows", "sizes", "texts"],
             )
 
         for part in slices(batches, "text", SLICE):
-            more = part.column("text").nbytes
-            if held and size + more > BLOCK_BYTES:
+            texts = [t or b"" for t in part.column("text").to_pylist()]
+            n = np.fromiter(map(len, texts), np.int64, len(texts))
+            if ids and size + int(n.sum()) > BLOCK_BYTES:
                 yield block()
-                held, size, made = [], 0, made + 1
-            held.append(part)
-            size += more
-        if held:
+                ids, train, sizes, packed, size, made = [], [], [], [], 0, made + 1
+            ids.append(part.column("doc_id"))
+            train.append(np.array(part.column("train").to_pylist(), np.uint8))
+            sizes.append(n)
+            packed.append(_packed(np.frombuffer(b"".join(texts), np.uint8)))
+            size += int(n.sum())
+        if ids:
             yield block()
 
     rows = docs.select("doc_id", "train", F.col("text").cast("binary").alias("text"))
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema["doc_id"].dataType)),
-        *(T.StructField(c, T.BinaryType()) for c in ("train", "sizes", "texts")),
+        *(T.StructField(c, T.BinaryType()) for c in ("train", "rows", "sizes")),
+        T.StructField("texts", T.ArrayType(T.BinaryType())),
     ])
     return rows.mapInArrow(run, schema)
 
 
 def _texts(row: dict) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Whether they are learned from, and the texts of a block, about SLICE bytes at a time."""
-    sizes, train = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["train"], np.uint8)
-    data = _unpacked(row["texts"], int(sizes.sum()), np.uint8).tobytes().lower()
-    ends = np.cumsum(sizes)
-    start = 0
-    while start < len(sizes):
-        begin = int(ends[start] - sizes[start])
-        stop = max(start + 1, int(np.searchsorted(ends, begin + SLICE, side="right")))
-        yield train[start:stop] == 1, [
-            data[e - n:e] for e, n in zip(ends[start:stop].tolist(), sizes[start:stop].tolist())
-        ]
-        start = stop
+    """Whether they are learned from, and the texts of a block, a slice at a time."""
+    ends = np.cumsum(np.frombuffer(row["rows"], np.int64))[:-1]
+    sizes = np.split(np.frombuffer(row["sizes"], np.int64), ends)
+    train = np.split(np.frombuffer(row["train"], np.uint8) == 1, ends)
+    for packed, n, learned in zip(row["texts"], sizes, train, strict=True):
+        data = _unpacked(packed, int(n.sum()), np.uint8).tobytes().lower()
+        yield learned, [data[e - k:e] for e, k in zip(np.cumsum(n).tolist(), n.tolist())]
 
 
 def context_keys(texts: list[bytes]) -> np.ndarray:
@@ -259,7 +257,10 @@ def _distinct(row: dict, n_parts: int) -> Iterator[dict]:
     def add(kind: int, keys: np.ndarray, train: bool) -> None:
         one, n = np.unique(keys, return_counts=True)
         found[kind][0].append(one)
-        found[kind][1].append(n if train else np.zeros(len(n)))
+        found[kind][1].append(n if train else np.zeros(len(n), np.int64))
+        if sum(map(len, found[kind][0][1:])) > WAITING:
+            one, n = _summed(*found[kind])
+            found[kind] = ([one], [n])
 
     for train, texts in _texts(row):
         for side in (True, False):
@@ -269,7 +270,7 @@ def _distinct(row: dict, n_parts: int) -> Iterator[dict]:
                 hashes, _ = word_hashes([t.decode(errors="surrogateescape") for t in some])
                 add(WORDS, np.concatenate([hashes, np.full(len(some), END)]), side)
     for kind in (BYTES, WORDS):
-        keys, n = _summed(*found[kind])
+        keys, n = _summed(*found.pop(kind))
         parts = _parts(kind, keys, n_parts)
         order = np.argsort(parts, kind="stable")
         for some in np.split(order, np.flatnonzero(np.diff(parts[order])) + 1):
@@ -331,15 +332,17 @@ def score_documents(docs: DataFrame) -> DataFrame:
     nothing to learn from every byte costs eight bits.
     """
     marked = docs.select("doc_id", "text").withColumn("train", remainder(F.col("doc_id"), 7) != 2)
-    blocks = stage(packed_blocks(marked), "packed_blocks")
+    # Partitions that are smaller than a block are read together.
+    size = marked.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    blocks = stage(packed_blocks(marked.coalesce(size // BLOCK_BYTES + 1)), "packed_blocks")
     n_parts = blocks.count() * WORD_PARTS + 1
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = list(_distinct(batch.slice(i, 1).to_pylist()[0], n_parts))
-                for start in range(0, len(rows), 4096):
-                    yield pa.RecordBatch.from_pylist(rows[start:start + 4096], schema)
+                rows = _distinct(batch.slice(i, 1).to_pylist()[0], n_parts)
+                while some := list(islice(rows, 1024)):
+                    yield pa.RecordBatch.from_pylist(some, schema)
 
     schema = pa.schema([("kind", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("n", pa.int32()),
                         ("keys", pa.binary()), ("counts", pa.binary())])
