@@ -238,10 +238,13 @@ def fitted_curve(strengths: np.ndarray, toxic: np.ndarray) -> tuple[float, float
 
 
 def training_rows(labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic) that may be learned from: crc32(doc_id) mod 5 is not 0, a bounded sample."""
+    """(doc_id, toxic) that may be learned from: crc32(doc_id) mod 5 is not 0, a bounded sample.
+
+    A document that is labelled both ways counts as toxic.
+    """
     usable = labels.filter(
         (remainder(F.col("doc_id"), 5) != 0) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)
-    ).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    ).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     draw = [F.xxhash64("doc_id"), F.col("doc_id")]
     return usable.filter("toxic = 1").orderBy(*draw).limit(TOXIC_ROWS).unionByName(
         usable.filter("toxic = 0").orderBy(*draw).limit(CLEAN_ROWS)
@@ -322,9 +325,17 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, keep: Iterable[str] = ())
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that are not predicted toxic, with all their columns."""
-    scored = score_toxicity(docs, learn(docs, labels), docs.columns)
-    return scored.filter("predicted = 0").select(*docs.columns)
+    """The rows of `docs` that are not predicted toxic, with all their columns as they were.
+
+    Columns other than doc_id and text travel as one struct, so none can be taken for a score.
+    Odd rows as `score_toxicity` states; repeated rows stay or go together.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = [F.struct(*(F.col(f"`{c}`") for c in others)).alias("row")] if others else []
+    scored = score_toxicity(docs.select("doc_id", "text", *row), learn(docs, labels), ["text", "row"][: 1 + len(row)])
+    return scored.filter("predicted = 0").select(
+        *(F.col("row").getField(c).alias(c) if c in others else F.col(c) for c in docs.columns)
+    )
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

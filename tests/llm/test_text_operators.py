@@ -146,6 +146,23 @@ def test_toxicity_learns(spark, folder, odd, labels):
     assert toxicity.without_toxic(odd.limit(0), labels).count() == 0
 
 
+def test_documents_keep_columns_named_like_scores(spark, labels):
+    rows = [(1, "kind words", 1, "x", 2), (2, None, 0, None, 3), (2, None, 0, None, 3), (None, "", None, "y", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int, `pre.dicted` string, predicted int")
+    got = toxicity.without_toxic(docs, labels)
+    assert got.dtypes == docs.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+    bare = docs.select("text", "doc_id")
+    assert sorted(map(tuple, toxicity.without_toxic(bare, labels).collect()), key=str) == sorted(((t, i) for i, t, *_ in rows), key=str)
+
+
+def test_conflicting_labels_count_as_toxic_in_any_order(spark):
+    pairs = [(i, t) for i in range(1, 40) for t in (0, 1)]
+    for order in (pairs, pairs[::-1]):
+        labels = spark.createDataFrame(order, "doc_id long, toxic int")
+        assert {r["toxic"] for r in toxicity.training_rows(labels).collect()} == {1}
+
+
 def test_quality_model_learns(spark, folder, odd, labels):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     truth = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
