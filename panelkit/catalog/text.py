@@ -117,9 +117,10 @@ def _forecasts(spark, folder, panel):
 
 def _retail_documents(spark, folder, panel):
     averages = A.series_average(panel)
+    profile = A.catalog_profile(panel)
     return D.union_documents(
-        D.catalog_documents(A.catalog_profile(panel)),
-        D.forecast_documents(_forecasts(spark, folder, panel)),
+        D.catalog_documents(profile),
+        D.forecast_documents(Q.with_catalog(_forecasts(spark, folder, panel), profile)),
         D.knowledge_documents(spark),
         D.store_documents(A.store_pattern(panel)),
         D.category_documents(A.category_pattern(panel)),
@@ -194,7 +195,7 @@ def question_answers(spark, folder):
     top = Q.with_catalog(Q.top_forecasts(_forecasts(spark, folder, panel)), A.catalog_profile(panel))
     restock = Q.restock_answer(top)
     fixed = D.union_documents(
-        restock.withColumn("intent", F.lit("restock")), restock.withColumn("intent", F.lit("top")),
+        restock.withColumn("intent", F.lit("restock")),
         Q.slow_answer(A.underperformers(averages)).withColumn("intent", F.lit("underperforming")),
         Q.store_answer(A.store_pattern(panel), A.category_pattern(panel)).withColumn(
             "intent", F.lit("store_comparison")),

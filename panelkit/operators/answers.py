@@ -44,13 +44,18 @@ def _lines(df: DataFrame, line: Column, order: list[Column], separator: str = "\
     ), separator).alias("_text"))
 
 
+def _product_line(store: Column, item: Column, predicted: Column, average: Column) -> Column:
+    """A product with its prediction and its historical average, as far as they are known."""
+    return F.concat(item, F.lit(" @ "), store, F.lit(": "), F.concat_ws(
+        ", ",
+        F.concat(F.lit("predicted "), fixed_text(predicted, 1), F.lit(" units/day")),
+        F.concat(F.lit("historical average "), fixed_text(average, 1)),
+    ))
+
+
 def restock_answer(top: DataFrame, days: int = settings.HORIZON_DAYS) -> DataFrame:
     """`top`: at most a handful of forecasts with their historical average."""
-    line = F.concat(
-        F.col("item_id"), F.lit(" @ "), F.col("store_id"), F.lit(": predicted "),
-        fixed_text(F.col("predicted_sales"), 1), F.lit(" units/day"),
-        F.coalesce(F.concat(F.lit(", historical average "), fixed_text(F.col("avg_sales"), 1)), F.lit("")),
-    )
+    line = _product_line(*map(F.col, ("store_id", "item_id", "predicted_sales", "avg_sales")))
     body = _lines(top, line, [(-F.col("predicted_sales")).alias("_a"), F.col("store_id"), F.col("item_id")])
     total = top.agg(F.sum(F.bround("predicted_sales", 2) * days)).scalar()
     return body.select(F.when(
@@ -128,6 +133,47 @@ def _sentences_about(question: Column, content: Column) -> Column:
     ]), lambda s: s.isNotNull())
 
 
+def _facts(doc: Column) -> Column:
+    """What a document says of a product: prediction, average, store, item; null where it does not."""
+    said = doc["metadata"]
+    return F.struct(
+        said["predicted_sales"].cast("double").alias("predicted"), said["avg_sales"].cast("double").alias("average"),
+        said["store_id"].alias("store"), said["item_id"].alias("item"),
+    )
+
+
+def _line_of(fact: Column) -> Column:
+    return _product_line(fact["store"], fact["item"], fact["predicted"], fact["average"])
+
+
+def _example(docs: Column) -> Column:
+    """The forecast document found first, as a line; null without one."""
+    fact = _facts(F.get(F.filter(docs, lambda d: d["type"] == "forecast"), F.lit(0)))
+    return F.concat(F.lit("For example, "), _line_of(fact))
+
+
+def _best_found(docs: Column, n: int = 5, days: int = settings.HORIZON_DAYS) -> Column:
+    """The best products among the documents found, with their demand; null where none is known.
+
+    Products with a positive forecast in descending order; where the question found no forecast,
+    those of catalog and top performers by their average. Equal values go by store and item.
+    """
+    def ranked(kinds: tuple[str, ...], value: str) -> Column:
+        facts = F.transform(F.filter(docs, lambda d: d["type"].isin(*kinds)), _facts)
+        known = F.filter(facts, lambda f: (f[value] > 0) & f["item"].isNotNull() & f["store"].isNotNull())
+        keyed = F.transform(known, lambda f: F.struct((-f[value]).alias("down"), f["store"], f["item"], f.alias("fact")))
+        return F.transform(F.slice(F.sort_array(F.array_distinct(keyed)), 1, n), lambda s: s["fact"])
+
+    forecast, others = ranked(("forecast",), "predicted"), ranked(("catalog", "top_performer"), "average")
+    total = F.aggregate(forecast, F.lit(0.0), lambda a, f: a + F.bround(f["predicted"], 2) * days)
+    return F.when(F.size(forecast) > 0, F.concat(
+        F.lit("Highest predicted demand:\n"), F.array_join(F.transform(forecast, _line_of), "\n"),
+        F.lit(f"\nDemand of these over {days} days: "), fixed_text(total, 0), F.lit(" units"),
+    )).when(F.size(others) > 0, F.concat(
+        F.lit("Best average sales:\n"), F.array_join(F.transform(others, _line_of), "\n"),
+    ))
+
+
 def answer_questions(
     questions: DataFrame,
     retrieved: DataFrame,
@@ -136,16 +182,22 @@ def answer_questions(
 ) -> DataFrame:
     """An answer and its sources for every question.
 
-    `retrieved` holds at most top-k documents per question (rank, score, type, content), which
-    bounds every list. `fixed_answers` has one row per intent whose answer does not depend on the
-    question: (intent, answer).
+    `retrieved` holds at most top-k documents per question (rank, score, type, content, and the
+    metadata where known), which bounds every list. Explanations and best products name products of
+    the question's own documents. `fixed_answers` has one row per intent whose answer does not depend
+    on the question: (intent, answer); its size decides how the engine joins it.
     """
+    if "metadata" not in retrieved.columns:
+        retrieved = retrieved.withColumn("metadata", F.lit(None).cast("map<string,string>"))
     routed = questions.withColumn("intent", intent(F.col("question")))
     docs = retrieved.groupBy(question_key).agg(
-        F.sort_array(F.collect_list(F.struct("rank", "score", "type", "content"))).alias("_docs")
+        F.array_sort(
+            F.collect_list(F.struct("rank", "score", "type", "content", "metadata")),
+            lambda a, b: F.when(a["rank"] < b["rank"], -1).when(a["rank"] > b["rank"], 1).otherwise(0),
+        ).alias("_docs")
     )
     rows = routed.join(docs, question_key, "left").withColumn(
-        "_docs", F.coalesce("_docs", F.expr("cast(array() as array<struct<rank:int,score:double,type:string,content:string>>)"))
+        "_docs", F.coalesce("_docs", F.expr("cast(array() as array<struct<rank:int,score:double,type:string,content:string,metadata:map<string,string>>>)"))
     ).withColumn("_known", F.filter("_docs", lambda d: d["type"] == "business_knowledge"))
     found = F.flatten(F.transform(
         F.slice("_known", 1, 5), lambda d: _sentences_about(F.col("question"), d["content"])
@@ -163,7 +215,8 @@ def answer_questions(
         ),
     ), "\n")).otherwise("Nothing relevant was found.")
     own = (
-        F.when(F.col("intent") == "explanation", F.array_join(drivers, "\n"))
+        F.when(F.col("intent") == "explanation", F.concat_ws("\n", F.array_join(drivers, "\n"), _example(F.col("_docs"))))
+        .when(F.col("intent") == "top", F.coalesce(_best_found(F.col("_docs")), general))
         .when((F.col("intent") == "kpi") & (F.size(measures) > 0), F.array_join(measures, "\n"))
         .when(
             (F.col("intent") == "inventory_knowledge") & (F.size("_known") > 0),
@@ -171,7 +224,7 @@ def answer_questions(
         )
         .otherwise(general)
     )
-    fixed = F.broadcast(fixed_answers.withColumnRenamed("answer", "_fixed"))  # one row per intent
+    fixed = fixed_answers.withColumnRenamed("answer", "_fixed")
     return rows.join(fixed, "intent", "left").select(
         question_key, "question", "intent",
         F.coalesce("_fixed", own).alias("answer"),

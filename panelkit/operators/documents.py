@@ -38,13 +38,14 @@ def catalog_documents(profile: DataFrame) -> DataFrame:
 
 
 def forecast_documents(forecasts: DataFrame) -> DataFrame:
-    """`forecasts`: series, category, state, model, its rmse, and `predicted_sales`."""
+    """`forecasts`: series, category, state, model, its rmse, `predicted_sales`, and `avg_sales` where known."""
     c = F.col
+    known = [x for x in ("avg_sales",) if x in forecasts.columns]
     return _document(forecasts, "forecast", ["store_id", "item_id"], _say(
         c("model"), " expects ", c("item_id"), " (", c("cat_id"), ") to sell ",
         fixed_text(c("predicted_sales"), 2), " units a day at ", c("store_id"), ", ", c("state_id"),
         ". This forecast has a validation RMSE of ", fixed_text(c("rmse"), 4), ".",
-    ), ["store_id", "item_id", "predicted_sales", "model"])
+    ), ["store_id", "item_id", "predicted_sales", "model", *known])
 
 
 def store_documents(pattern: DataFrame) -> DataFrame:

@@ -109,6 +109,41 @@ def test_intents(spark, question, wanted):
     assert spark.range(1).select(Q.intent(F.lit(question)).alias("i")).first()["i"] == wanted
 
 
+def test_answers_name_products_of_their_own_documents(spark):
+    questions = spark.createDataFrame(
+        [("why", "Why would sales drop?"), ("top", "trending items"), ("bare", "popular items"),
+         ("lone", "why?"), ("fixed", "What to restock?")], "question_id string, question string")
+
+    def said(store, item, predicted, average):
+        given = {"store_id": store, "item_id": item, "predicted_sales": predicted, "avg_sales": average}
+        return {k: v for k, v in given.items() if v}
+
+    retrieved = spark.createDataFrame([
+        ("why", 2, 0.5, "forecast", "f", said("S1", "I1", "3.26", "2.04")),
+        ("why", 3, 0.4, "forecast", "f", said("S2", "I2", "9.0", "8.0")),
+        ("why", 1, 0.6, "business_knowledge", "SNAP", None),
+        ("top", 1, 0.9, "forecast", "f", said("S1", "I1", "1.0", None)),
+        ("top", 2, 0.8, "forecast", "f", said("S1", "I2", "4.0", "3.0")),
+        ("top", 3, 0.7, "forecast", "f", said("S1", "I3", "0.0", "3.0")),
+        ("top", 4, 0.6, "underperformer", "u", said("S1", "I9", None, "99.0")),
+        ("bare", 1, 0.9, "top_performer", "t", said("S3", "I4", None, "7.0")),
+        ("bare", 2, 0.8, "catalog", "c", said("S3", "I4", None, "7.0")),
+        ("bare", 3, 0.7, "underperformer", "u", said("S3", "I5", None, "8.0")),
+    ], "question_id string, rank int, score double, type string, content string, metadata map<string,string>")
+    fixed = spark.createDataFrame([("restock", "all of it")], "intent string, answer string")
+    got = {r["question_id"]: r["answer"] for r in Q.answer_questions(questions, retrieved, fixed).collect()}
+    assert got["why"].splitlines()[-1] == "For example, I1 @ S1: predicted 3.3 units/day, historical average 2.0"
+    assert "Benefit days" in got["why"] and "I2" not in got["why"]
+    assert got["top"].splitlines() == [
+        "Highest predicted demand:", "I2 @ S1: predicted 4.0 units/day, historical average 3.0",
+        "I1 @ S1: predicted 1.0 units/day", "Demand of these over 28 days: 140 units"]
+    assert got["bare"].splitlines() == ["Best average sales:", "I4 @ S3: historical average 7.0"]
+    assert got["lone"].splitlines() == list(Q.DEFAULT_DRIVERS)
+    assert got["fixed"] == "all of it"
+    plain = Q.answer_questions(questions, retrieved.drop("metadata"), fixed)
+    assert plain.filter("answer is null").count() == 0
+
+
 def test_words_and_bigrams(spark):
     row = spark.range(1).select(words(F.lit("The Élan of x sales, sales!")).alias("w")).select(
         "w", bigrams(F.col("w")).alias("b")
