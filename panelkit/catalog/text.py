@@ -13,7 +13,8 @@ from panelkit.operators import answers as Q
 from panelkit.operators import documents as D
 from panelkit.operators import metrics as M
 from panelkit.operators import retrieval as R
-from panelkit.sources import files, trade
+from panelkit.sources import trade
+from panelkit.sources.index import open_index, write_index
 from panelkit.storage import new_path, stage
 
 
@@ -135,13 +136,12 @@ def retail_documents(spark, folder):
 
 
 def document_store(spark, folder):
-    """Write documents and weights, read them back, search the stored index."""
+    """Write a search index, open it from its folder, search it there."""
     path = new_path(spark, "documents")
     texts = _texts(spark, folder)
-    terms, weights = R.fit(texts)
-    files.write_documents(texts, weights, path)
-    stored, stored_weights = files.read_documents(spark, path)
-    found = R.retrieve(_asked(spark, folder), stored, 3, index=(terms, stored_weights))
+    write_index(texts, *R.fit(texts), path)
+    stored = open_index(spark, path)
+    found = R.retrieve(_asked(spark, folder), stored.documents, 3, index=stored[1:])
     return found.select("question_id", "rank", "id", F.bround("score", 6).alias("score"))
 
 

@@ -102,22 +102,3 @@ def list_models(metadata: DataFrame, names: Sequence[str]) -> DataFrame:
         "metrics",
         F.when(F.col("features").isNotNull(), F.size("features")).alias("n_features"),
     )
-
-
-def write_documents(documents: DataFrame, weights: DataFrame, path: str) -> None:
-    """A document store: the documents, and their term weights."""
-    documents.write.parquet(f"{path}/documents")
-    weights.write.parquet(f"{path}/weights")
-
-
-def read_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/documents"), spark.read.parquet(f"{path}/weights")
-
-
-def documents_exist(spark: SparkSession, path: str) -> bool:
-    """Whether both halves of a document store can be read."""
-    try:
-        read_documents(spark, path)
-    except Exception:  # the reader reports any missing path with one exception type
-        return False
-    return True
