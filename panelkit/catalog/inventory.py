@@ -37,6 +37,37 @@ def _recommendations(spark, folder):
     return I.inventory_requests(*_requests(spark, folder))
 
 
+def _positions(spark, folder, forecast_days):
+    """Stock as of the day before each forecast, lead time and service level of every series.
+
+    Made counts: on every day with sales, a multiple of the units sold; one category is never counted.
+    """
+    counts = trade.sales_cells(spark, folder).filter(F.col("cat_id") != "CAT_2").select(
+        "store_id", "item_id", "day_num",
+        (F.col("sales") * 4.0 * (F.col("day_num") % 5 + 1)).alias("current_stock"),
+    )
+    number = F.substring_index("item_id", "#", -1).cast("int")
+    return forecast_days.select(
+        "store_id", "item_id", (number % 10 + 1).alias("lead_time_days"),
+        F.when(number % 3 == 1, 0.9).otherwise(0.95).alias("service_level"),
+    ).join(I.stock_as_of(counts, forecast_days), ["store_id", "item_id"], "left")
+
+
+def inventory_as_of(spark, folder):
+    """Recommendations of the last day from the latest count before it."""
+    rows = X.add_series_columns(trade.dense_sales(spark, folder), X.rolling_mean((28,)))
+    latest = stage(A.latest_rows(rows).select(
+        "store_id", "item_id", "day_num", F.col("sales_r28_mean").alias("predicted_sales")
+    ), "latest")
+    out = I.inventory_requests(
+        latest.drop("day_num"), A.demand_deviation(rows), _positions(spark, folder, latest)
+    )
+    return out.select(
+        "store_id", "item_id", "current_stock", "counted_on", "lead_time_days", "service_level",
+        "safety_stock", "reorder_point", "recommended_order_qty", "stock_status", "urgency",
+    )
+
+
 def safety_stock(spark, folder):
     return _recommendations(spark, folder).select(
         "store_id", "item_id", "service_level", "lead_time_days", "safety_stock"
@@ -93,7 +124,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         safety_stock, reorder_point, order_quantity, stock_status, days_of_supply,
-        order_reasoning, inventory_recommendations, forecast_context,
+        order_reasoning, inventory_recommendations, inventory_as_of, forecast_context,
     )
 }
 
@@ -136,7 +167,20 @@ def _sql(body: str) -> str:
     return sql.dense("").rstrip() + f",{_INVENTORY}\n{body}"
 
 
+# The same rules on the latest count before the last day, and lead times and levels by item.
+_AS_OF = _INVENTORY.replace("requests AS (", """counted AS (
+  SELECT store_id, item_id, max(day_num) AS counted_on, arg_max(sales * 4.0::DOUBLE * (day_num % 5 + 1), day_num) AS stock
+  FROM dense WHERE sales > 0 AND cat_id <> 'CAT_2' AND day_num < (SELECT max(day_num) FROM days) GROUP BY 1, 2
+),
+requests AS (""").replace("CASE WHEN cat_id <> 'CAT_2' THEN CAST((lag1 + lag7) * 4 AS DOUBLE) END AS stock", "stock, counted_on").replace(
+    "lag7 % 10 + 1 AS INTEGER", "CAST(split_part(item_id, '#', 2) AS INTEGER) % 10 + 1 AS INTEGER"
+).replace("FROM looked WHERE", "FROM looked LEFT JOIN counted USING (store_id, item_id) WHERE")
+
 ORACLES = {
+    "inventory_as_of": sql.dense("").rstrip() + f""",{_AS_OF}
+SELECT store_id, item_id, stock AS current_stock, counted_on, lead AS lead_time_days, level AS service_level,
+       safety AS safety_stock, round_even(point, 2) AS reorder_point, qty AS recommended_order_qty, stock_status, urgency
+FROM recommended""",
     "safety_stock": _sql("""
 SELECT store_id, item_id, level AS service_level, lead AS lead_time_days, safety AS safety_stock FROM recommended"""),
     "reorder_point": _sql("""

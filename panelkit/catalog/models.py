@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkit import settings
+from panelkit.catalog.inventory import _positions
 from panelkit.operators import analytics as A
 from panelkit.operators import attribution as E
 from panelkit.operators import inventory as I
@@ -102,10 +103,14 @@ def batch_forecast(spark, folder):
 
 
 def model_inventory(spark, folder):
-    """A recommendation for every series from the boosted model."""
-    predicted = L.predict(_boosted(spark, folder), _latest(spark, folder), settings.SERIES_KEY)
+    """A recommendation for every series from the boosted model, on the stock known before its day."""
+    latest = _latest(spark, folder)
+    predicted = L.predict(_boosted(spark, folder), latest, settings.SERIES_KEY)
     deviations = A.demand_deviation(trade.dense_sales(spark, folder))
-    return I.inventory_requests(predicted.withColumnRenamed("prediction", "predicted_sales"), deviations)
+    return I.inventory_requests(
+        predicted.withColumnRenamed("prediction", "predicted_sales"), deviations,
+        _positions(spark, folder, latest.select(*settings.SERIES_KEY, settings.ORDER)),
+    )
 
 
 def model_importances(spark, folder):

@@ -32,6 +32,23 @@ def test_recommendation(spark, stock, order, status, urgency):
     assert row["reasoning"].startswith("8.9 units a day, 250 in 28 days, are forecast.")
 
 
+def test_stock_as_of(spark):
+    """Counts of the forecast day and later are unknown; equal days take the larger, null counts are none."""
+    counts = spark.createDataFrame([
+        ("s", "a", 1, 5.0), ("s", "a", 3, 7.0), ("s", "a", 3, 9.0), ("s", "a", 4, None), ("s", "a", 5, 1.0),
+        ("s", "b", 9, 2.0), ("s", "c", None, 2.0), ("s", "d", 2, 0.0),
+    ], "store_id string, item_id string, day_num int, current_stock double")
+    days = spark.createDataFrame([("s", i, 5) for i in "abcd"], "store_id string, item_id string, day_num int")
+    got = {r.item_id: (r.current_stock, r.counted_on) for r in I.stock_as_of(counts, days).collect()}
+    assert got == {"a": (9.0, 3), "d": (0.0, 2)}
+    assert I.stock_as_of(counts.limit(0), days).count() == I.stock_as_of(counts, days.limit(0)).count() == 0
+    predicted = days.select("store_id", "item_id", F.lit(2.0).alias("predicted_sales"))
+    rows = I.inventory_requests(predicted, predicted.select("store_id", "item_id", F.lit(1.0).alias("demand_std")),
+                                I.stock_as_of(counts, days).withColumn("lead_time_days", F.lit(2)))
+    got = {r.item_id: (r.stock_status, r.lead_time_days) for r in rows.collect()}
+    assert got == {"a": ("adequate", 2), "b": ("unknown", 7), "c": ("unknown", 7), "d": ("critical", 2)}
+
+
 def test_lower_service_level(spark):
     df = spark.range(1).select(I.safety_stock(F.lit(5.0), 7, 0.90).alias("s"))
     assert df.first()["s"] == 16.93
