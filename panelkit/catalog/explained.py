@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from panelkit.catalog import sql
 from panelkit.catalog.analytics import NAIVE_MODELS, _metrics_sql, _naive_predictions
+from panelkit.catalog.text import _intent, answered
 from panelkit.operators import analytics as A
+from panelkit.operators import answers as Q
 from panelkit.operators import attribution as E
 from panelkit.operators import metrics as M
 from panelkit.operators import models as L
@@ -84,6 +86,24 @@ def explained_series(spark, folder):
     )
 
 
+def explained_answers(spark, folder):
+    """Answers on every product, with the explanation where it is asked for and the product is known."""
+    series = trade.sales_cells(spark, folder).select("store_id", "item_id").distinct()
+    questions = series.select(
+        F.concat_ws("/", "store_id", "item_id").alias("question_id"),
+        F.concat(F.lit("Why does "), "item_id", F.lit(" sell?")).alias("question"),
+        F.when(F.col("item_id") != "Brand#11", F.col("store_id")).otherwise("NONE").alias("store_id"), "item_id",
+        F.col("store_id").endswith("_1").alias("explain"),
+    )
+    questions = stage(Q.expand_flagged(questions), "questions")
+    answers = answered(spark, folder, questions.select("question_id", "question"))
+    told = E.interpretation(E.summarize(_latest(spark, folder)), 2)
+    return Q.explain_answers(answers, questions, told).select(
+        "question_id", "question", "intent", "enriched", "explanation",
+        F.coalesce(F.col("answer").endswith(F.col("explanation")), F.lit(False)).alias("attached"),
+    )
+
+
 def naive_comparison(spark, folder):
     """The predictions of three naive models side by side."""
     return L.compare_predictions(_naive_predictions(spark, folder), models=NAIVE_MODELS)
@@ -109,7 +129,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         weight_attributions, strongest_contributions, largest_contributions, weight_waterfall,
-        weight_sentences, weight_importance, explained_series, naive_comparison, naive_sample, naive_registry,
+        weight_sentences, weight_importance, explained_series, explained_answers, naive_comparison, naive_sample, naive_registry,
     )
 }
 
@@ -179,6 +199,21 @@ FROM (SELECT feature, avg(abs(impact)) AS size FROM impacts GROUP BY 1)""", ctes
 SELECT a.store_id, a.item_id, round_even(prediction, 4) AS prediction, prediction IS NOT NULL AS enriched
 FROM (SELECT DISTINCT CASE WHEN item_id <> 'Brand#11' THEN store_id ELSE 'NONE' END AS store_id, item_id FROM series) a
 LEFT JOIN sums s ON s.store_id = a.store_id AND s.item_id = a.item_id""", ctes=_LATEST),
+    "explained_answers": sql.panel(f"""
+SELECT question_id, question, {_intent('question')} AS intent, interpretation IS NOT NULL AS enriched,
+       interpretation AS explanation, interpretation IS NOT NULL AS attached
+FROM (
+  SELECT store_id || '/' || item_id AS question_id, item_id,
+         CASE WHEN item_id <> 'Brand#11' THEN store_id ELSE 'NONE' END AS store_id, ends_with(store_id, '_1') AS explain,
+         'Why does ' || item_id || ' sell?' || CASE WHEN ends_with(store_id, '_1') THEN
+           ' store ' || CASE WHEN item_id <> 'Brand#11' THEN store_id ELSE 'NONE' END || ' product ' || item_id ELSE '' END AS question
+  FROM (SELECT DISTINCT store_id, item_id FROM series)
+) q
+LEFT JOIN told t ON q.explain AND t.store_id = q.store_id AND t.item_id = q.item_id""", ctes=f"{_LATEST},{_BARS}," + f"""
+told AS (
+  SELECT store_id, item_id, {_decimal('round_even(prediction, 4)', 2)} || ' units are predicted. Raised by: '
+         || {_listing('up', '+')} || '; lowered by: ' || {_listing('down', '')} || '.' AS interpretation
+  FROM sums s)"""),
     "naive_comparison": _metrics_sql("SELECT * FROM wide").replace("errors AS (", f"{_SIDE_BY_SIDE.strip()},\nerrors AS (", 1),
     "naive_sample": _metrics_sql(f"""
 SELECT *, abs(last_day - sales) AS last_day_error, abs(last_week - sales) AS last_week_error, abs(mean_28 - sales) AS mean_28_error

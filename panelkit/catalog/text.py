@@ -185,11 +185,10 @@ def _questions(spark, folder):
     )
 
 
-def question_answers(spark, folder):
-    """An answer with its sources for every question."""
+def answered(spark, folder, questions):
+    """An answer with its sources for every question, from the documents of the panel."""
     panel = _panel(spark, folder)
     documents = stage(_retail_documents(spark, folder, panel), "retail_documents")
-    questions = stage(_questions(spark, folder), "questions")
     retrieved = R.retrieve(questions, documents, 8).join(documents, "id")
     averages = A.series_average(panel)
     top = Q.with_catalog(Q.top_forecasts(_forecasts(spark, folder, panel)), A.catalog_profile(panel))
@@ -203,6 +202,10 @@ def question_answers(spark, folder):
     return Q.answer_questions(questions, retrieved, fixed)
 
 
+def question_answers(spark, folder):
+    return answered(spark, folder, stage(_questions(spark, folder), "questions"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (

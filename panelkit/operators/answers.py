@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from panelkit import settings
 from panelkit.functions.columns import contains_any, first_match, fixed_text
 from panelkit.functions.text import GENERAL, INTENTS
+from panelkit.operators.retrieval import expand_question
 
 
 def intent(question: Column) -> Column:
@@ -236,6 +239,37 @@ def answer_questions(
     )
 
 
+def expand_flagged(questions: DataFrame, key: Sequence[str] = settings.SERIES_KEY) -> DataFrame:
+    """Questions that ask for an explanation (`explain`) name their store and item before retrieval.
+
+    Others, and those with a null flag, stay as they are; an unknown store or item is left out.
+    """
+    store, item = key
+    expanded = expand_question(F.col("question"), F.col(store), F.col(item))
+    return questions.withColumn("question", F.when(F.col("explain"), expanded).otherwise(F.col("question")))
+
+
+def explain_answers(
+    answers: DataFrame,
+    questions: DataFrame,
+    told: DataFrame,
+    question_key: str = "question_id",
+    key: Sequence[str] = settings.SERIES_KEY,
+) -> DataFrame:
+    """Answers with the explanation of the forecast they are about, where the question asks for it.
+
+    `questions` has one row per question with store, item and the flag `explain`; `told` one row per
+    series with an `interpretation`. `enriched` tells whether one was attached: not where the flag is
+    off or null, nor where the series is unknown or has no explanation.
+    """
+    flagged = questions.filter("explain").select(question_key, *key)
+    said = flagged.join(told.select(*key, F.col("interpretation").alias("explanation")), list(key)).drop(*key)
+    enriched = F.col("explanation").isNotNull()
+    return answers.join(said, question_key, "left").withColumns({
+        "answer": F.concat_ws("\n\n", "answer", "explanation"), "enriched": enriched,
+    })
+
+
 def source_snippets(retrieved: DataFrame, question_key: str = "question_id", n: int = 5, chars: int = 200) -> DataFrame:
     """The start of the first documents of every question."""
     return retrieved.filter(F.col("rank") <= n).select(

@@ -161,6 +161,24 @@ def test_answers_name_products_of_their_own_documents(spark):
     assert plain.filter("answer is null").count() == 0
 
 
+def test_explained_answers(spark):
+    """The flag decides; unknown series, null flags and unanswered questions keep what they have."""
+    questions = spark.createDataFrame([
+        ("q1", "Why?", "s", "a", True), ("q2", "Why?", "s", "a", False), ("q3", "Why?", "s", "z", True),
+        ("q4", "Why?", None, "a", True), ("q5", "Why?", "s", "a", None), ("q6", "Why?", "s", "b", True),
+    ], "question_id string, question string, store_id string, item_id string, explain boolean")
+    asked = {r.question_id: r.question for r in Q.expand_flagged(questions).collect()}
+    assert asked == {
+        "q1": "Why? store s product a", "q2": "Why?", "q3": "Why? store s product z", "q4": "Why? product a",
+        "q5": "Why?", "q6": "Why? store s product b",
+    }
+    answers = questions.select("question_id", F.lit("Because.").alias("answer"))
+    told = spark.createDataFrame([("s", "a", "Told."), ("s", "b", None)], "store_id string, item_id string, interpretation string")
+    got = {r.question_id: (r.answer, r.enriched) for r in Q.explain_answers(answers, questions, told).collect()}
+    plain = ("Because.", False)
+    assert got == {"q1": ("Because.\n\nTold.", True), **{f"q{i}": plain for i in range(2, 7)}}
+
+
 def test_words_and_bigrams(spark):
     row = spark.range(1).select(words(F.lit("The Élan of x sales, sales!")).alias("w")).select(
         "w", bigrams(F.col("w")).alias("b")
