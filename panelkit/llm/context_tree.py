@@ -39,6 +39,8 @@ BLOCK_BYTES = 32 << 20
 SLICE = 1 << 20
 #: Keys that wait to be added up with those of the slices before.
 WAITING = 2_000_000
+#: Keys that are merged at a time, and the distance of the keys that tell where to cut.
+RANGE, STEP = 1 << 18, 1 << 8
 #: Words are dealt into so many parts per block.
 WORD_PARTS = 8
 #: Stands for the end of a text among the word hashes.
@@ -217,16 +219,28 @@ def _sorted_unpacked(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(_unpacked(data, n, U64), dtype=U64)
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, sorted, with the sums of their counts."""
-    if not sum(map(len, keys)):
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    every = np.concatenate(keys)
-    # The arrays are sorted each, so that a stable sort only merges them.
-    order = np.argsort(every, kind="stable")
-    every = every[order]
-    starts, _ = _runs(every)
-    return every[starts], np.add.reduceat(np.concatenate(counts)[order], starts)
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray], dtype=np.int64) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with the sums of their counts; each array is sorted and has no key twice.
+
+    A range of keys is merged at a time: beyond what comes in and goes out, memory is that of a range.
+    """
+    total = sum(map(len, keys))
+    every, sums, made = np.empty(total, U64), np.empty(total, dtype), 0
+    # Each STEP-th key of every array: between two cuts there are about RANGE keys, however they lie.
+    some = np.sort(np.concatenate([k[::STEP] for k in keys])) if total else np.zeros(0, U64)
+    cuts = np.unique(some[RANGE // STEP::RANGE // STEP])
+    ends = [[0, *np.searchsorted(k, cuts).tolist(), len(k)] for k in keys]
+    for i in range(len(cuts) + 1 if total else 0):
+        near = np.concatenate([k[e[i]:e[i + 1]] for k, e in zip(keys, ends)])
+        # The arrays are sorted each, so that a stable sort only merges them.
+        order = np.argsort(near, kind="stable")
+        near = near[order]
+        starts, _ = _runs(near)
+        n = np.concatenate([c[e[i]:e[i + 1]] for c, e in zip(counts, ends)])[order]
+        every[made:made + len(starts)] = near[starts]
+        sums[made:made + len(starts)] = np.add.reduceat(n, starts, dtype=dtype)
+        made += len(starts)
+    return every[:made], sums[:made]
 
 
 # ------------------------------------------------------------------------------ blocks of text
@@ -309,9 +323,9 @@ def _distinct(row: dict, n_parts: int) -> Iterator[dict]:
     def add(kind: int, keys: np.ndarray, train: bool) -> None:
         one, n = np.unique(keys, return_counts=True)
         found[kind][0].append(one)
-        found[kind][1].append(n if train else np.zeros(len(n), np.int64))
+        found[kind][1].append(n.astype(np.int32) if train else np.zeros(len(n), np.int32))
         if sum(map(len, found[kind][0][1:])) > WAITING:
-            one, n = _summed(*found[kind])
+            one, n = _summed(*found.pop(kind), np.int32)
             found[kind] = ([one], [n])
 
     for train, texts in _texts(row):
@@ -322,20 +336,23 @@ def _distinct(row: dict, n_parts: int) -> Iterator[dict]:
                 hashes, _ = word_hashes([t.decode(errors="surrogateescape") for t in some])
                 add(WORDS, np.concatenate([hashes, np.full(len(some), END)]), side)
     for kind in (BYTES, WORDS):
-        keys, n = _summed(*found.pop(kind))
+        keys, n = _summed(*found.pop(kind), np.int32)
         parts = _parts(kind, keys, n_parts)
-        order = np.argsort(parts, kind="stable")
-        for some in np.split(order, np.flatnonzero(np.diff(parts[order])) + 1):
-            if len(some):
-                yield {
-                    "kind": kind, "part": int(parts[some[0]]), "block": row["block"], "n": len(some),
-                    "keys": _sorted_packed(keys[some]), "counts": _packed(n[some]),
-                }
+        if kind == WORDS:
+            # Sorted bytes-in-context have their parts in order.
+            order = np.argsort(parts, kind="stable")
+            parts, keys, n = parts[order], keys[order], n[order]
+        starts = _runs(parts)[0].tolist() if len(parts) else []
+        for a, b in zip(starts, [*starts[1:], len(parts)]):
+            yield {
+                "kind": kind, "part": int(parts[a]), "block": row["block"], "n": b - a,
+                "keys": _sorted_packed(keys[a:b]), "counts": _packed(n[a:b].astype(np.int64)),
+            }
 
 
 def _parts(kind: int, keys: np.ndarray, n_parts: int) -> np.ndarray:
     """The last two bytes of a context, or a hash of a word."""
-    return (keys >> U64(40)).astype(np.int64) if kind == BYTES else (keys % U64(n_parts)).astype(np.int64)
+    return (keys >> U64(40)).astype(np.int32) if kind == BYTES else (keys % U64(n_parts)).astype(np.int64)
 
 
 _FOUND = "kind int, part long, block long, n int, keys binary, counts binary"
