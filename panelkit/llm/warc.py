@@ -25,6 +25,8 @@ ARCHIVE_BYTES = 32 << 20
 CHUNK = 1 << 18
 #: Payloads from this size on are stored once; smaller ones always in full.
 LEAST_BYTES = 0
+#: How header bytes that are no UTF-8 pass through text unchanged.
+AS_THEY_ARE = "surrogateescape"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -39,7 +41,11 @@ def _record(kind: str, page: int | None, url: str | None, fields: list[str], blo
     if url:
         head.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
     head += ["WARC-Date: 2000-01-01T00:00:00Z", *fields, f"WARC-Block-Digest: sha1:{base32_digest(block)}", f"Content-Length: {len(block)}"]
-    return "\r\n".join([*head, "", ""]).encode() + block + b"\r\n\r\n"
+    return "\r\n".join([*head, "", ""]).encode(errors=AS_THEY_ARE) + block + b"\r\n\r\n"
+
+
+def _text(url: bytes | None) -> str | None:
+    return None if url is None else url.decode(errors=AS_THEY_ARE)
 
 
 def response_record(page: int | None, url: str | None, payload: bytes) -> bytes:
@@ -85,17 +91,18 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
 
     Of equal payloads of `least_bytes` or more the largest page_id is a response and smaller ones
     revisit it. Null html counts as an empty payload. Rows without page_id, and rows that share the
-    largest one, are responses. Returns (name, bytes, records) of the archives, written once as a
+    largest one, are responses. Payloads and urls are bytes: pages that are no UTF-8 are written as they are.
+    Returns (name, bytes, records) of the archives, written once as a
     table: archives of tasks that were lost or run twice are not in it and are never read.
 
     Only digests are grouped. Each payload becomes a compressed record before anything is
     shuffled, and is joined with the page its digest belongs to; the digest of a third of all pages
     is split by the engine as a skewed join. `folder` must be one that every executor reaches.
     """
-    payload = F.coalesce(F.col("html"), F.lit(""))
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     named = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-        payload.alias("html"), F.sha1(payload.cast("binary")).alias("digest"),
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").cast("binary").alias("url"),
+        payload.alias("html"), F.sha1(payload).alias("digest"),
     )
     groups = (
         named.filter((F.octet_length("html") >= least_bytes) & F.col("page_id").isNotNull())
@@ -106,7 +113,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
     def responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
             rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True)
-            members = [response_record(page, url, html.encode()) for page, url, html in rows]
+            members = [response_record(page, _text(url), html) for page, url, html in rows]
             sizes = pa.compute.binary_length(batch.column("html")).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), batch.column("page_id"), batch.column("url"), sizes, pa.array(members, pa.binary())],
@@ -114,7 +121,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
             )
 
     records = named.mapInArrow(
-        responses, "digest string, page_id long, url string, size long, member binary"
+        responses, "digest string, page_id long, url binary, size long, member binary"
     ).join(groups, "digest", "left")
     repeats = (F.col("page_id") < F.col("first")) & (F.col("size") >= least_bytes)
     ready = records.select(
@@ -128,7 +135,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
             for row in batch.to_pylist():
                 archive = archive or _Archive(folder)
                 archive.add(row["member"] or revisit_record(
-                    row["page_id"], row["url"], row["digest"], row["size"], row["refers_to"]
+                    row["page_id"], _text(row["url"]), row["digest"], row["size"], row["refers_to"]
                 ))
                 if archive.bytes >= ARCHIVE_BYTES:
                     done.append(archive.close())
@@ -196,7 +203,7 @@ def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """
     source = _Bytes(stream)
     while (head := source.until(b"\r\n\r\n")) is not None:
-        first, *lines = head.decode().split("\r\n")[:-2]
+        first, *lines = head.decode(errors=AS_THEY_ARE).split("\r\n")[:-2]
         if not first.startswith("WARC/1."):
             raise ValueError(f"no record starts with {first[:40]!r}")
         header = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
@@ -217,7 +224,7 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> D
     is read by one task from start to end, so its size is bounded by ARCHIVE_BYTES and one record.
     """
     schema = (
-        "page_id long, url string, payload_bytes long, payload_digest string, record_type string,"
+        "page_id long, url binary, payload_bytes long, payload_digest string, record_type string,"
         " refers_to long" + ", payload binary" * payloads
     )
 
@@ -225,10 +232,10 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> D
         fs, path = pa.fs.FileSystem.from_uri(folder)
         with fs.open_input_stream(f"{path}/{name}", compression=None) as stream:
             for header, block in read_records(stream):
-                page, target = header.get("warc-x-page"), header.get("warc-refers-to")
+                page, target, url = (header.get(f"warc-{x}") for x in ("x-page", "refers-to", "target-uri"))
                 kind = header["warc-type"]
                 yield (
-                    int(page) if page else None, header.get("warc-target-uri"),
+                    int(page) if page else None, None if url is None else url.encode(errors=AS_THEY_ARE),
                     int(header["warc-x-payload-length"]),
                     header["warc-payload-digest"].removeprefix("sha1:"), kind,
                     int(target.strip("<>").rpartition(":")[2]) if target else None,
@@ -249,7 +256,7 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> D
         yield _typed(held, columns)
 
     parts = max(1, min(archives.count(), 100_000))
-    return archives.select("name").repartition(parts, "name").mapInPandas(read, schema)
+    return archives.select("name").repartition(parts, "name").mapInPandas(read, schema).withColumn("url", F.col("url").cast("string"))
 
 
 def _typed(rows: list[tuple], columns: list[str]) -> pd.DataFrame:

@@ -90,6 +90,25 @@ def test_warc_round_trip(spark, odd_pages, least):
     assert warc.read_archives(warc.write_archives(odd_pages.limit(0), new_path(spark, "none")), folder).count() == 0
 
 
+def test_warc_keeps_bytes_that_are_no_utf8(spark):
+    """Before, a page in another encoding ended the job with a UnicodeDecodeError."""
+    latin, cut = "<p>Caf\xe9</p>".encode("latin-1"), "\u6f22".encode()[:2]
+    raw = [(1, b"http://a/\xe9", latin), (2, b"http://b/", latin), (3, None, cut), (4, b"http://\xff/", b"plain"), (5, None, None)]
+    pages = spark.createDataFrame(raw, "page_id long, url binary, html binary").selectExpr(
+        "page_id", "cast(url AS string) AS url", "cast(html AS string) AS html"
+    )
+    folder = new_path(spark, "warc")
+    found = warc.read_archives(warc.write_archives(pages, folder), folder, payloads=True)
+    got = found.selectExpr("page_id", "cast(url AS binary) AS url", "record_type", "refers_to", "payload_bytes", "payload").collect()
+    assert {
+        (r.page_id, r.url and bytes(r.url), r.record_type, r.refers_to, r.payload_bytes, None if r.payload is None else bytes(r.payload))
+        for r in got
+    } == {
+        (1, b"http://a/\xe9", "revisit", 2, len(latin), None), (2, b"http://b/", "response", None, len(latin), latin),
+        (3, None, "response", None, 2, cut), (4, b"http://\xff/", "response", None, 5, b"plain"), (5, None, "response", None, 0, b""),
+    }
+
+
 def test_warc_reader_refuses_damage():
     one = warc.response_record(1, "http://a/", b"payload " * 1000)
     two = warc.revisit_record(2, None, hashlib.sha1(b"x").hexdigest(), 1, 1)
